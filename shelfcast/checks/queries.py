@@ -334,7 +334,7 @@ def outlier_filter_iqr(spark, sf):
 @query
 def training_matrix(spark, sf):
     frame, _ = learning.training_frame(jobs.features_v2(daily(spark, sf), FIRST, LAST), exclude=("VisitDate", "isHolidayNextVisit"))
-    return rounded(frame, 9, *WAVES)
+    return rounded(frame.drop("isHolidayNextVisit"), 9, *WAVES)
 
 
 @query

@@ -368,10 +368,8 @@ def top_brands(recommended: DataFrame, k: int) -> DataFrame:
 
 def summary(recommended: DataFrame) -> DataFrame:
     """Brands and cost per pair, and over all pairs (the row without keys)."""
-    return recommended.rollup(F.struct("pointid", "categoryid").alias("pair")).agg(
+    keys = [F.col("pointid"), F.col("categoryid")]
+    return recommended.groupingSets([keys, []], *keys).agg(
         F.count(F.lit(1)).alias("brands"), F.sum("estimated_cost").alias("total_cost"),
-        F.max("extended_sum").alias("_budget"), F.grouping("pair").alias("_total"),
-    ).select(
-        F.col("pair.pointid").alias("pointid"), F.col("pair.categoryid").alias("categoryid"), "brands", "total_cost",
-        F.when(F.col("_total") == 0, F.col("_budget")).alias("forecast_amount"),
+        F.when(F.grouping_id() == 0, F.max("extended_sum")).alias("forecast_amount"),
     )
