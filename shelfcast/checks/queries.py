@@ -328,7 +328,8 @@ def latest_recommendation_batch(spark, sf):
 
 @query
 def outlier_filter_iqr(spark, sf):
-    return stats.iqr_filter(daily(spark, sf), "SumRoubles").select(*KEYS, "SumRoubles")
+    rows = materialize(daily(spark, sf).select(*KEYS, "SumRoubles"), "daily-sales")
+    return stats.iqr_filter(rows, "SumRoubles")
 
 
 @query
@@ -341,13 +342,14 @@ def training_matrix(spark, sf):
 def training_matrix_v1(spark, sf):
     frame = jobs.features_v1(daily(spark, sf), FIRST, LAST, calendar_flag=True, history_flag=True, sales_flag=True)
     features = learning.feature_set_by_type(frame)
-    clean = learning.training_frame(frame, features=features)[0]
+    clean = materialize(learning.training_frame(frame, features=features)[0], "training-frame")
     return rounded(stats.iqr_filter(clean, "SumRoubles"), 4, "Average_Interval_Category", *history_v1.ROLLING)
 
 
 @query
 def time_series_folds(spark, sf):
-    return stats.time_series_folds(daily(spark, sf).select(*KEYS, "SumRoubles"), "VisitDate", ["PointID", "CategoryID"])
+    rows = materialize(daily(spark, sf).select(*KEYS, "SumRoubles"), "daily-sales")
+    return stats.time_series_folds(rows, "VisitDate", ["PointID", "CategoryID"])
 
 
 @query
@@ -356,9 +358,10 @@ def kfold(spark, sf):
 
 
 def _baseline(spark, sf) -> DataFrame:
-    """Mean of the pair's earlier sales as a forecast that any engine can repeat."""
+    """The pair's previous amount as a forecast that any engine can repeat."""
     rows = history_v1.add_sales_features(daily(spark, sf), daily=True)
-    return rows.select(*KEYS, "SumRoubles", F.coalesce("Prev_Order_Amount_Category", F.lit(0.0)).alias("forecast"))
+    previous = F.coalesce("Prev_Order_Amount_Category", F.lit(0.0))
+    return materialize(rows.select(*KEYS, "SumRoubles", previous.alias("forecast")), "baseline")
 
 
 @query

@@ -158,11 +158,13 @@ def pair_plan(
         F.collect_set("brand").alias("popular"))
     if gaps is None:
         gaps = class_gaps(sales, rules)
+    # The joins on the pair come last: the fan-out to brands and the budget fill
+    # then find whole pairs in place and move no brand rows.
     plan = (
-        pairs.join(gaps.select("pointid", "categoryid", "class_gap"), ["pointid", "categoryid"], "left")
-        .join(by_brand, ["pointid", "categoryid"], "left")
-        .join(point_region(sales), "pointid", "left")
+        pairs.join(point_region(sales), "pointid", "left")
         .join(popular, ["microregionid", "categoryid"], "left")
+        .join(gaps.select("pointid", "categoryid", "class_gap"), ["pointid", "categoryid"], "left")
+        .join(by_brand, ["pointid", "categoryid"], "left")
     )
     gap = F.coalesce("class_gap", F.lit(0))
     return plan.withColumn("class_gap", gap).withColumn("adjustment_factor", classes.budget_factor(F.col("class_gap"))).withColumn(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.operators import calendar, history_v1, history_v2, learning, recommend as rec, statistics as stats
 from shelfcast.session import materialize, scratch_path
@@ -135,17 +135,17 @@ def score_by_category(
     return scored.select("VisitDate", "PointID", "CategoryID", "predict_advanced")
 
 
-def _split_by_date(frame: DataFrame, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+def split_by_date(frame: DataFrame, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Earlier days to train on, later days to check: cut where the share of rows is reached."""
     days = frame.groupBy("VisitDate").agg(F.count(F.lit(1)).alias("n"))
-    rows = sorted(days.collect(), key=lambda r: r["VisitDate"])  # one row per calendar day
-    seen, wanted, cut = 0, share * sum(r["n"] for r in rows), rows[-1]["VisitDate"]
-    for r in rows:
-        if seen >= wanted:
-            cut = r["VisitDate"]
-            break
-        seen += r["n"]
-    return frame.where(F.col("VisitDate") < F.lit(cut)), frame.where(F.col("VisitDate") >= F.lit(cut))
+    # one row per calendar day, so a window without partitions stays small
+    before = Window.orderBy("VisitDate").rowsBetween(Window.unboundedPreceding, -1)
+    total = days.agg(F.sum("n")).scalar()
+    late = F.coalesce(F.sum("n").over(before), F.lit(0)) >= total * F.lit(share)
+    first_late, last = days.withColumn("late", late).agg(
+        F.min(F.when(F.col("late"), F.col("VisitDate"))), F.max("VisitDate")).first()
+    cut = F.lit(first_late or last)
+    return frame.where(F.col("VisitDate") < cut), frame.where(F.col("VisitDate") >= cut)
 
 
 def tune_parameters(
@@ -153,7 +153,7 @@ def tune_parameters(
 ) -> tuple[dict, DataFrame]:
     """Search the grid on a later slice of days and save the best parameters."""
     frame, features = learning.training_frame(features_v2(fact, start, end), features=learning.model_features())
-    train, holdout = _split_by_date(materialize(frame, "training-frame"))
+    train, holdout = split_by_date(materialize(frame, "training-frame"))
     grid = grid or {"variance_power": learning.TUNING_GRID["variance_power"]}
     best, results = learning.tune(train, holdout, features, grid, trials=trials)
     sink.save_params(fact.sparkSession, best, path)
