@@ -87,7 +87,9 @@ def _sales(src: SourceTables, start: dt.date | None, end: dt.date, keys: list[st
     wanted = src.orders.where(F.col("ortype") == 1).where(F.col("ordate") < F.lit(end))
     if start is not None:
         wanted = wanted.where(F.col("ordate") >= F.lit(start))
-    items = item_map(src.items, src.item_attrs, src.attr_values).select("iid", *keys).distinct()
+    items = item_map(src.items, src.item_attrs, src.attr_values).select("iid", *keys)
+    if "brand" not in keys:
+        items = items.distinct()  # an item of two brands still sells once
     sums = (
         src.order_items.select("masterfid", "orid", "iid", measure)
         .join(wanted.select("masterfid", "orid", "mfid", "ordate"), ["masterfid", "orid"])

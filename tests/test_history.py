@@ -1,0 +1,140 @@
+import datetime as dt
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from shelfcast.operators import history_v1 as h1, history_v2 as h2
+from shelfcast.sources import testdata as td
+
+D = dt.date
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, sf):
+    """Series where one outlet and day holds over a third of all rows, many of them copies."""
+    base = td.series(spark, sf)
+    busy = base.limit(1).select("VisitDate", "PointID", "CategoryID").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(600))))
+    hot = busy.select("VisitDate", "PointID", "CategoryID", (F.col("k") % 40).cast("double").alias("SumRoubles"))
+    return spark.createDataFrame(base.unionByName(hot).toPandas(), base.schema)
+
+
+def _sorted(df):
+    pdf = df.toPandas() if not isinstance(df, pd.DataFrame) else df
+    columns = sorted(pdf.columns)
+    return pdf[columns].sort_values(columns).reset_index(drop=True)
+
+
+def _pandas_v1(pdf):
+    q = pdf.copy()
+    q["VisitDate"] = pd.to_datetime(q.VisitDate)
+    q = q.sort_values(["PointID", "VisitDate", "CategoryID", "SumRoubles"]).reset_index(drop=True)
+    visit = q.groupby("PointID").VisitDate
+    q["Days_Since_Last_Order_Total"] = (q.VisitDate - visit.shift(1)).dt.days
+    q["DaysNextVisit"] = (visit.shift(-1) - q.VisitDate).dt.days.fillna(7)
+    pair = q.groupby(["PointID", "CategoryID"])
+    q["Days_Since_Last_Order_Category"] = (q.VisitDate - pair.VisitDate.shift(1)).dt.days
+    q["Prev_Order_Amount_Category"] = pair.SumRoubles.shift(1)
+    q["Average_Interval_Category"] = q.groupby(["PointID", "CategoryID"]).Days_Since_Last_Order_Category.transform("mean")
+    days = q.groupby(["PointID", "CategoryID", "VisitDate"], as_index=False).SumRoubles.sum()
+    rolled = days.groupby(["PointID", "CategoryID"]).SumRoubles
+    for n in (3, 7, 30):
+        days[f"SMA_{n}_Category"] = rolled.transform(lambda s, n=n: s.rolling(n, min_periods=1).mean())
+    days["StdDev_Category"] = rolled.transform(lambda s: s.rolling(30, min_periods=2).std())
+    days["Momentum_Category"] = days.SMA_7_Category / days.SMA_30_Category.replace(0, np.nan)
+    out = q.merge(days.drop(columns="SumRoubles"), on=["PointID", "CategoryID", "VisitDate"])
+    out["VisitDate"] = out.VisitDate.dt.date
+    return out
+
+
+def test_v1_matches_pandas_on_skewed_rows(skewed):
+    got, want = _sorted(h1.add_history_v1(skewed)), _sorted(_pandas_v1(skewed.toPandas()))
+    pd.testing.assert_frame_equal(got, want, check_dtype=False, rtol=1e-9, atol=1e-9)
+
+
+def test_v1_hot_days_give_the_same_rows(skewed, monkeypatch):
+    want = _sorted(h1.add_history_v1(skewed))
+    monkeypatch.setattr(h1, "COPIES_PER_TASK", 4)
+    got = _sorted(h1.add_history_v1(skewed, hot_day_rows=5))
+    pd.testing.assert_frame_equal(got, want, check_dtype=False, rtol=1e-9, atol=1e-9)
+
+
+def test_v1_daily_windows_agree_with_the_general_road(spark, sf):
+    days = td.series(spark, sf).groupBy("VisitDate", "PointID", "CategoryID").agg(F.round(F.sum("SumRoubles"), 2).alias("SumRoubles"))
+    days = spark.createDataFrame(days.toPandas(), days.schema)
+    pd.testing.assert_frame_equal(
+        _sorted(h1.add_history_v1(days, daily=True)), _sorted(h1.add_history_v1(days)), check_dtype=False, rtol=1e-9, atol=1e-9)
+
+
+def test_v1_long_series_fill_the_window(spark):
+    rows = [(D(2024, 1, 1) + dt.timedelta(days=i), 1, 1, float(i * i % 17)) for i in range(50)]
+    df = spark.createDataFrame(rows, "VisitDate date, PointID long, CategoryID int, SumRoubles double")
+    want = _sorted(_pandas_v1(df.toPandas()))
+    pd.testing.assert_frame_equal(_sorted(h1.add_history_v1(df)), want, check_dtype=False, rtol=1e-9, atol=1e-9)
+
+
+def test_v1_zero_series_and_single_row(spark):
+    df = spark.createDataFrame(
+        [(D(2024, 1, 1), 1, 1, 0.0), (D(2024, 1, 2), 1, 1, 0.0), (D(2024, 1, 1), 2, 1, 5.0)],
+        "VisitDate date, PointID long, CategoryID int, SumRoubles double")
+    rows = h1.add_history_v1(df).collect()
+    assert all(r["Momentum_Category"] is None for r in rows if r["PointID"] == 1)
+    single = next(r for r in rows if r["PointID"] == 2)
+    assert single["StdDev_Category"] is None and single["DaysNextVisit"] == 7 and single["Average_Interval_Category"] is None
+
+
+def test_v1_needs_its_columns(spark):
+    df = spark.createDataFrame([(1, 2.0)], "PointID long, amount double")
+    assert h1.add_order_history(df).columns == df.columns
+    assert h1.add_sales_features(df).columns == df.columns
+    dated = spark.createDataFrame([(D(2024, 1, 1), 1, 2.0), (D(2024, 1, 4), 1, 3.0)], "date date, outlet_id long, sum double")
+    out = {r["date"].day: r for r in h1.add_history_v1(dated).collect()}
+    assert out[4]["Days_Since_Last_Order_Total"] == 3 and out[4]["Prev_Order_Amount_Category"] == 2.0
+    assert out[4]["Average_Interval_Category"] is None
+
+
+def test_v2_edges(spark):
+    rows = [(D(2024, 3, 7), 1, 1, 10.0), (D(2024, 3, 7), 1, 2, 5.0), (D(2024, 3, 7), 1, 1, 1.0), (D(2024, 3, 11), 1, 1, 4.0)]
+    df = spark.createDataFrame(rows, "VisitDate date, PointID long, CategoryID int, SumRoubles double")
+    out = h2.add_history_v2(df).collect()
+    first = [r for r in out if r["VisitDate"] == D(2024, 3, 7)]
+    last = next(r for r in out if r["VisitDate"] == D(2024, 3, 11))
+    assert len(out) == 4 and {r["DaysLastVisit"] for r in first} == {7} and {r["DaysNextVisit"] for r in first} == {4}
+    assert (last["DaysLastVisit"], last["DaysNextVisit"], last["LastSalesCategory"], last["DaysLastSalesCategory"]) == (4, 7, 11.0, 4)
+    assert {r["LastSalesCategory"] for r in first} == {0.0}
+    assert {r["isHolidayNextVisit"] for r in first} == {0}
+
+
+def test_v2_next_visit_on_holiday(spark):
+    rows = [(D(2024, 3, 5), 1, 1, 1.0), (D(2024, 3, 8), 1, 1, 1.0)]
+    df = spark.createDataFrame(rows, "VisitDate date, PointID long, CategoryID int, SumRoubles double")
+    out = {r["VisitDate"].day: r["isHolidayNextVisit"] for r in h2.add_visit_features(df).collect()}
+    assert out == {5: 1, 8: 0}
+
+
+def test_v2_daily_windows_agree_with_the_general_road(spark, sf):
+    days = td.series(spark, sf).groupBy("VisitDate", "PointID", "CategoryID").agg(F.round(F.sum("SumRoubles"), 2).alias("SumRoubles"))
+    days = spark.createDataFrame(days.toPandas(), days.schema)
+    pd.testing.assert_frame_equal(_sorted(h2.add_history_v2(days, daily=True)), _sorted(h2.add_history_v2(days)), check_dtype=False)
+
+
+def test_scoring_frame_equals_appended_rows(spark, sf):
+    target = D(2024, 2, 5)
+    days = td.series(spark, sf).groupBy("VisitDate", "PointID", "CategoryID").agg(F.round(F.sum("SumRoubles"), 2).alias("SumRoubles"))
+    attributes = {c: F.lit("a") for c in ["BranchID", "PointClass", "PointType", "Lat", "Lon", "MicroRegionID"]}
+    days = days.withColumns(attributes)
+    asked = days.select("PointID", "CategoryID").distinct().withColumn("VisitDate", F.lit(target)).withColumn("SumRoubles", F.lit(0.0))
+    appended = days.select("VisitDate", "PointID", "CategoryID", "SumRoubles").unionByName(asked)
+    names = ["PointID", "CategoryID", "DaysLastVisit", "DaysNextVisit", "DaysLastSalesCategory", "LastSalesCategory"]
+    want = h2.add_history_v2(appended, daily=True).where(F.col("VisitDate") == F.lit(target)).select(*names)
+    pd.testing.assert_frame_equal(_sorted(h2.scoring_frame(days, target).select(*names)), _sorted(want), check_dtype=False)
+
+
+def test_features_do_not_change_when_later_rows_arrive(spark, sf):
+    rows = td.series(spark, sf)
+    cut = D(2024, 1, 20)
+    names = ["VisitDate", "PointID", "CategoryID", "SumRoubles", "Days_Since_Last_Order_Total", "Prev_Order_Amount_Category", *h1.ROLLING]
+    early = h1.add_history_v1(rows.where(F.col("VisitDate") < F.lit(cut))).select(*names)
+    late = h1.add_history_v1(rows).where(F.col("VisitDate") < F.lit(cut)).select(*names)
+    pd.testing.assert_frame_equal(_sorted(early), _sorted(late), check_dtype=False, rtol=1e-9, atol=1e-9)
