@@ -1,0 +1,51 @@
+"""Physical plans: no Python in the hot path, no cartesian product, no unbounded window."""
+
+import re
+
+import pytest
+
+from shelfcast.checks import queries as q
+
+NATIVE = [
+    "brand_sales_3m", "daily_sales_fact", "features_v1_full", "features_v2_full", "order_history_v1", "sales_features_v1",
+    "point_total_class", "point_category_class", "brand_candidates", "greedy_budget", "recommend_orders", "training_matrix",
+]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_plan_is_native(spark, sf, name):
+    plan = _plan(q.QUERIES[name](spark, sf))
+    for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in plan, word
+    # a window whose rows all land in one task
+    assert not re.search(r"Exchange SinglePartition.*\n.*Sort.*\n.*Window", plan)
+
+
+def test_scan_is_pruned_and_filtered(spark, sf):
+    plan = _plan(q.QUERIES["brand_sales_3m"](spark, sf))
+    scan = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
+    assert "l_extendedprice" not in scan and "l_quantity" in scan
+    orders = next(line for line in plan.splitlines() if "orders.parquet" in line)
+    assert re.search(r"PushedFilters: \[.*o_orderdate", orders)
+
+
+def test_daily_features_shuffle_the_fact_once(spark, sf):
+    from shelfcast.plans import jobs
+    from shelfcast.session import materialize
+
+    fact = materialize(q.daily(spark, sf), "fact")
+    plan = _plan(jobs.features_v2(fact, q.FIRST, q.LAST))
+    assert plan.count("Exchange hashpartitioning") == 1
+    plan = _plan(jobs.features_v1(fact, q.FIRST, q.LAST, True, True, True))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_budget_fill_moves_no_brand_rows(spark, sf):
+    """After the fan-out to brands no exchange follows."""
+    plan = _plan(q.QUERIES["greedy_budget"](spark, sf)).splitlines()
+    top = next(i for i, line in enumerate(plan) if "brand_id" in line and "BroadcastHashJoin" in line or "importancelabel" in line)
+    assert not any("Exchange hashpartitioning" in line for line in plan[:top])
