@@ -249,10 +249,12 @@ def clipped_forecasts(spark, sf):
     return stored.clipped_count(predictions(spark, sf))
 
 
-def _candidates(spark, sf):
+def _candidates(spark, sf, most=rec.ARRAY_BRANDS):
     history = materialize(sales(spark, sf), "sales-history")
     ruled = materialize(rules(spark, sf), "brand-rules")
-    return rec.brand_candidates(rec.pair_plan(pairs(spark, sf), history, ruled, WEEKDAY), ruled), rec.brands_bound(ruled)
+    bound = rec.brands_bound(ruled)
+    plan = rec.pair_plan(pairs(spark, sf), history, ruled, WEEKDAY, packed=bound <= most)
+    return rec.brand_candidates(plan, ruled, history, WEEKDAY), bound
 
 
 @query
@@ -269,7 +271,8 @@ def greedy_budget(spark, sf):
 
 @query
 def greedy_budget_streamed(spark, sf):
-    filled = rec.greedy_fill(_candidates(spark, sf)[0], ["pointid", "categoryid"])
+    """The road for categories with very many rules."""
+    filled = rec.greedy_fill(_candidates(spark, sf, most=0)[0], ["pointid", "categoryid"])
     return filled.select("pointid", "categoryid", "brand_id", "priority", "estimated_cost", "extended_sum", "included")
 
 

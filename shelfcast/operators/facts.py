@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.columns import text_to_double
 from shelfcast.schemas import BRAND_SALES_COLUMNS, DAILY_COLUMNS
+from shelfcast.session import broadcast_if_small
 from shelfcast.sources.testdata import SourceTables
 
 # fixed values: attribute numbers of the source system, and the grid step of 3 km in degrees
@@ -93,11 +94,12 @@ def _sales(src: SourceTables, start: dt.date | None, end: dt.date, keys: list[st
     sums = (
         src.order_items.select("masterfid", "orid", "iid", measure)
         .join(wanted.select("masterfid", "orid", "mfid", "ordate"), ["masterfid", "orid"])
-        .join(items, "iid")
+        .join(broadcast_if_small(items), "iid")
         .groupBy(F.col("mfid").alias("PointID"), F.to_date("ordate").alias("VisitDate"), *keys)
         .agg(F.sum(measure).alias(out))
     )
-    return sums.join(point_features(src.faces, src.face_attrs), "PointID")
+    points = point_features(src.faces, src.face_attrs)
+    return sums.join(broadcast_if_small(points, counted=src.faces), "PointID")
 
 
 def brand_sales(src: SourceTables, end: dt.date, start: dt.date | None = None) -> DataFrame:

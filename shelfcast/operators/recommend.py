@@ -1,10 +1,12 @@
 """From category forecasts to brand quantities within a budget.
 
-Everything up to the last step stays at one row per outlet and category: the
-outlet's mean quantities travel as a map from brand to mean, and the popular
-brands of a grid cell as an array. Only then does the join with the rules fan
-out to brands, in place, and the budget fill works on partitions that already
-hold whole pairs.
+While categories have few rules, which is counted first, everything up to the
+last step stays at one row per outlet and category: the outlet's mean quantities
+travel as a map from brand to mean, and the popular brands of a grid cell as an
+array. Only then does the join with the rules fan out to brands, in place, and
+the budget fill works on partitions that already hold whole pairs. With more
+rules, brand rows are joined by key and the fill streams through sorted
+partitions.
 """
 
 from __future__ import annotations
@@ -149,23 +151,29 @@ def point_region(sales: DataFrame) -> DataFrame:
 
 
 def pair_plan(
-    pairs: DataFrame, sales: DataFrame, rules: DataFrame, weekday: int, gaps: DataFrame | None = None
+    pairs: DataFrame, sales: DataFrame, rules: DataFrame, weekday: int, gaps: DataFrame | None = None, packed: bool = False
 ) -> DataFrame:
-    """One row per pair with its budget, means by brand and popular brands of its cell."""
-    by_brand = target_means(sales, weekday).groupBy("pointid", "categoryid").agg(
-        F.map_from_entries(F.collect_list(F.struct("brand", "avg_sales"))).alias("means"))
-    popular = local_top_brands(sales, weekday).groupBy("microregionid", "categoryid").agg(
-        F.collect_set("brand").alias("popular"))
+    """One row per pair with its budget and grid cell.
+
+    ``packed`` adds the means by brand as a map and the popular brands of the
+    cell as an array, both of rule brands only; use it when categories have few
+    rules (``brands_bound``). Otherwise ``brand_candidates`` joins them by brand.
+    """
     if gaps is None:
         gaps = class_gaps(sales, rules)
+    plan = pairs.join(point_region(sales), "pointid", "left")
+    if packed:
+        ruled = rules.select("categoryid", "brand").distinct()
+        popular = local_top_brands(sales, weekday).join(ruled, ["categoryid", "brand"], "left_semi").groupBy(
+            "microregionid", "categoryid").agg(F.collect_set("brand").alias("popular"))
+        plan = plan.join(popular, ["microregionid", "categoryid"], "left")
     # The joins on the pair come last: the fan-out to brands and the budget fill
     # then find whole pairs in place and move no brand rows.
-    plan = (
-        pairs.join(point_region(sales), "pointid", "left")
-        .join(popular, ["microregionid", "categoryid"], "left")
-        .join(gaps.select("pointid", "categoryid", "class_gap"), ["pointid", "categoryid"], "left")
-        .join(by_brand, ["pointid", "categoryid"], "left")
-    )
+    plan = plan.join(gaps.select("pointid", "categoryid", "class_gap"), ["pointid", "categoryid"], "left")
+    if packed:
+        by_brand = target_means(sales, weekday).join(ruled, ["categoryid", "brand"], "left_semi").groupBy(
+            "pointid", "categoryid").agg(F.map_from_entries(F.collect_list(F.struct("brand", "avg_sales"))).alias("means"))
+        plan = plan.join(by_brand, ["pointid", "categoryid"], "left")
     gap = F.coalesce("class_gap", F.lit(0))
     return plan.withColumn("class_gap", gap).withColumn("adjustment_factor", classes.budget_factor(F.col("class_gap"))).withColumn(
         "extended_sum", F.col("predicted_sum") * F.col("adjustment_factor"))
@@ -217,7 +225,23 @@ def comment() -> Column:
     return F.when(text == "", F.lit(plain)).otherwise(text)
 
 
-def brand_candidates(plan: DataFrame, rules: DataFrame) -> DataFrame:
+def _fanned_out(plan: DataFrame, ruled: DataFrame, sales: DataFrame, weekday: int) -> DataFrame:
+    """Every rule brand of every pair with its mean quantity and local popularity."""
+    fanned = plan.join(ruled, "categoryid")
+    if "means" in plan.columns:
+        mean, top = F.try_element_at("means", F.col("brand_id")), F.array_contains("popular", F.col("brand_id"))
+    else:
+        means = target_means(sales, weekday).withColumnRenamed("brand", "brand_id").withColumnRenamed("avg_sales", "_mean")
+        popular = local_top_brands(sales, weekday).select(
+            "microregionid", "categoryid", F.col("brand").alias("brand_id"), F.lit(True).alias("_top"))
+        fanned = fanned.join(popular, ["microregionid", "categoryid", "brand_id"], "left").join(
+            means, ["pointid", "categoryid", "brand_id"], "left")
+        mean, top = F.col("_mean"), F.col("_top")
+    return fanned.withColumn("avg_daily_sales", F.coalesce(mean, F.lit(0.0))).withColumn(
+        "is_top_local", F.coalesce(top, F.lit(False)))
+
+
+def brand_candidates(plan: DataFrame, rules: DataFrame, sales: DataFrame, weekday: int) -> DataFrame:
     """Quantity, cost, priority and comment of every rule brand of every pair.
 
     Pairs of a category without rules drop out. A brand the outlet never bought
@@ -231,9 +255,7 @@ def brand_candidates(plan: DataFrame, rules: DataFrame) -> DataFrame:
         label.alias("importance_label"), "priorityweight", F.col("isturbobrand").alias("is_turbo"),
         F.col("avgprice").alias("avg_price"),
     )
-    mean = F.coalesce(F.try_element_at("means", F.col("brand_id")), F.lit(0.0))
-    fanned = plan.join(ruled, "categoryid").withColumn("avg_daily_sales", mean).withColumn(
-        "is_top_local", F.coalesce(F.array_contains("popular", F.col("brand_id")), F.lit(False)))
+    fanned = _fanned_out(plan, ruled, sales, weekday)
     has_history = F.col("avg_daily_sales") > 0
     need = F.when(has_history, F.col("avg_daily_sales") * F.col("days_until_visit")).otherwise(F.col("quantum").cast("double"))
     quantity = F.when(has_history, pack_up(F.col("raw_need"), F.col("quantum"))).otherwise(F.col("quantum").cast("long"))
@@ -334,6 +356,7 @@ def recommend(
     forecasts: DataFrame, rules: DataFrame, sales: DataFrame, reference_date: dt.date,
     default_days: int | None = None, on_date: dt.date | None = None,
     point_id: int | None = None, category_id: int | None = None, stored: bool = False,
+    array_brands: int = ARRAY_BRANDS,
 ) -> DataFrame:
     """Recommended brands of every forecast pair: the candidates that fit the budget.
 
@@ -353,10 +376,10 @@ def recommend(
     if category_id is not None:
         cleaned = cleaned.where(F.col("categoryid") == category_id)
     pairs = pair_forecast(cleaned, default_days, on_date)
-    plan = pair_plan(pairs, sales, rules, weekday)
-    candidates = brand_candidates(plan, rules)
-    filled = greedy_fill(candidates, ["pointid", "categoryid"], brands_bound=brands_bound(rules))
-    return filled.where("included")
+    bound = brands_bound(rules)
+    plan = pair_plan(pairs, sales, rules, weekday, packed=bound <= array_brands)
+    candidates = brand_candidates(plan, rules, sales, weekday)
+    return greedy_fill(candidates, ["pointid", "categoryid"], array_brands=array_brands, brands_bound=bound).where("included")
 
 
 # --- reports ------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.operators import calendar, history_v1, history_v2, learning, recommend as rec, statistics as stats
-from shelfcast.session import materialize, scratch_path
+from shelfcast.session import materialize
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored
 
@@ -92,18 +92,21 @@ def train_and_score(
 
 def train_ensemble_and_score(
     fact: DataFrame, start, end, target: dt.date, iterations: int = 1000, max_depth: int | None = None, path: str | None = None,
-    created_at: dt.datetime | None = None, version: str = "catboost_v1",
+    created_at: dt.datetime | None = None, version: str = "catboost_v1", export_path: str | None = None,
 ) -> DataFrame:
     """First generation: outlier filter, ensemble of boosted trees, bounded forecasts with confidence.
 
-    With a path the scored rows are also appended there.
+    With a path the scored rows are also appended there, with an export path
+    the training features.
     """
     source = materialize(fact, "daily-sales")
     every = {"calendar_flag": True, "history_flag": True, "sales_flag": True}
     raw = features_v1(source, start, end, **every)
     features = learning.feature_set_by_type(raw)
-    frame = stats.iqr_filter(learning.training_frame(raw, features=features)[0], learning.TARGET)
-    frame = materialize(frame, "training-frame")
+    if export_path is not None:
+        sink.append_export(raw, export_path, created_at)
+    clean = materialize(learning.training_frame(raw, features=features)[0], "training-frame")
+    frame = stats.iqr_filter(clean, learning.TARGET)
     members = [(min(d, max_depth or d), rate, seed) for d, rate, seed in learning.ENSEMBLE]
     models = learning.train_ensemble(frame, features, iterations=iterations, members=members)
     error = learning.predict_ensemble(models, frame, features, "_fitted").agg(
@@ -122,9 +125,13 @@ def train_ensemble_and_score(
 
 
 def score_by_category(
-    fact: DataFrame, start, end, target: dt.date, categories: Sequence[int], with_fallback: bool = True
+    fact: DataFrame, start, end, target: dt.date, categories: Sequence[int], with_fallback: bool = True,
+    path: str | None = None,
 ) -> DataFrame:
-    """Score the target day with one model per listed category; others use a common model, else 0."""
+    """Score the target day with one model per listed category; others use a common model, else 0.
+
+    With a path the day's slice is replaced there.
+    """
     source = materialize(fact, "daily-sales")
     frame, features = learning.training_frame(features_v2(source, start, end), features=learning.model_features())
     frame = materialize(frame, "training-frame")
@@ -132,6 +139,9 @@ def score_by_category(
     fallback = learning.train_tweedie(frame, features) if with_fallback else None
     asked = materialize(history_v2.scoring_frame(source, target), "scoring-frame")
     scored = learning.predict_by_category(models, asked, features, fallback, column="predict_advanced")
+    if path is not None:
+        scored = materialize(scored, "scored")
+        sink.replace_slice(scored, path, target)
     return scored.select("VisitDate", "PointID", "CategoryID", "predict_advanced")
 
 

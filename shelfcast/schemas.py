@@ -28,10 +28,32 @@ BRAND_SALES_COLUMNS = [
     "MicroRegionID", "CategoryID", "brand", "brand_name", "brand_amount",
 ]
 
-# Stored forecasts: the keys, the features present in the frame, and these.
-PREDICTION_EXTRAS = T.StructType([
-    _field("predict_new", T.DoubleType(), "forecast of the category sum"),
-    _field("Prediction_Confidence", T.DoubleType(), "0 … 1"),
+_FLAGS = {
+    "is_weekend": "Saturday or Sunday", "is_monday": "Monday", "is_friday": "Friday", "is_saturday": "Saturday",
+    "is_sunday": "Sunday", "is_holiday": "public holiday", "is_pre_holiday": "before a holiday or weekend",
+    "is_post_holiday": "after a holiday or weekend", "is_month_start": "first day of the month",
+    "is_month_end": "last day of the month",
+}
+_COUNTS = {
+    "day_of_week": "0 = Monday … 6 = Sunday", "month": "month", "quarter": "quarter", "week_of_year": "ISO week",
+    "day_of_month": "day of the month", "day_of_year": "day of the year", "days_to_holiday": "days to the next holiday",
+    "days_from_holiday": "days since the last holiday",
+    "Days_Since_Last_Order_Category": "days since the pair's previous order",
+    "Days_Since_Last_Order_Total": "days since the outlet's previous order", "DaysNextVisit": "days to the next visit",
+}
+_FIGURES = {
+    "Average_Interval_Category": "mean days between the pair's orders",
+    "Prev_Order_Amount_Category": "amount of the pair's previous order", "SMA_3_Category": "mean of the last 3 days sold",
+    "SMA_7_Category": "mean of the last 7 days sold", "SMA_30_Category": "mean of the last 30 days sold",
+    "Momentum_Category": "7-day mean over 30-day mean", "StdDev_Category": "spread of the last 30 days sold",
+    "predict_new": "forecast of the category sum", "Prediction_Confidence": "0 … 1",
+}
+# Stored first-generation forecasts.
+PREDICTIONS = T.StructType([
+    *[f for f in DAILY_SALES if f.name != "SumRoubles"],
+    *[_field(n, T.BooleanType(), c) for n, c in _FLAGS.items()],
+    *[_field(n, T.IntegerType(), c) for n, c in _COUNTS.items()],
+    *[_field(n, T.DoubleType(), c) for n, c in _FIGURES.items()],
     _field("CreatedAt", T.TimestampType(), "time of writing"),
     _field("ModelVersion", T.StringType(), "model that made the row"),
 ])

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Rows of a narrow dimension (about a hundred bytes each) that every executor can hold.
+BROADCAST_ROWS = 1_000_000
 
 _local_scratch: dict[str, str] = {}
 
@@ -58,3 +61,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, counted: DataFrame | None = None, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a join side for broadcast when a count shows it is small; else Spark shuffles it as usual.
+
+    ``counted`` is a frame that has at least as many rows and is cheaper to
+    count. The estimates Spark makes before running grow with every join, so
+    without the hint a small joined dimension makes the large side shuffle.
+    """
+    seen = (df if counted is None else counted).limit(rows + 1).count()
+    return F.broadcast(df) if seen <= rows else df

@@ -166,6 +166,12 @@ def test_recommend_end_to_end(spark, tiny):
     assert (new["recommended_qty"], new["avg_daily_sales"]) == (6, 0.0) and new["comment"].startswith("Новый бренд")
 
 
+def test_many_rules_take_another_road_to_the_same_rows(spark, tiny):
+    few = {tuple(r) for r in rec.recommend(*tiny, D(2024, 5, 8)).collect()}
+    many = {tuple(r) for r in rec.recommend(*tiny, D(2024, 5, 8), array_brands=1).collect()}
+    assert few == many and few
+
+
 def test_recommend_single_pair_equals_its_rows(spark, tiny):
     everything = {tuple(r) for r in rec.recommend(*tiny, D(2024, 5, 8)).where("pointid = 2").collect()}
     assert {tuple(r) for r in rec.recommend(*tiny, D(2024, 5, 8), point_id=2, category_id=101).collect()} == everything

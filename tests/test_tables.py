@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.functions import files
-from shelfcast.schemas import FEATURES, RECOMMENDATIONS, RECOMMENDATIONS_ADDED, categorical_indexes
+from shelfcast.schemas import (
+    FEATURES, PREDICTION_COLUMNS_V1, PREDICTIONS, RECOMMENDATIONS, RECOMMENDATIONS_ADDED, categorical_indexes,
+)
 from shelfcast.session import scratch_path, scratch_root
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored
@@ -145,6 +147,13 @@ def test_accessors_and_cache(spark, predictions):
     cache.clear()
 
 
+def test_canonical_predictions(spark, predictions):
+    assert {*PREDICTION_COLUMNS_V1, "CreatedAt", "ModelVersion"} == set(PREDICTIONS.names)
+    out = sink.conform(predictions, PREDICTIONS)
+    assert out.schema == PREDICTIONS and out.schema["predict_new"].metadata["comment"]
+    assert out.where("predict_new > 0 and Lat is null").count() == 12
+
+
 def test_feature_vector():
     assert len(FEATURES) == 35 and categorical_indexes() == [0, 1, 2, 3, 4, 7, 8, 9, 10, 11, 12, 13, 16, 19, 20, 34]
 
