@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.operators import calendar, history_v1, history_v2, learning, recommend as rec, statistics as stats
-from shelfcast.session import materialize
+from shelfcast.session import materialize, scratch_scope
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored
 
@@ -76,17 +76,18 @@ def train_and_score(
     created_at: dt.datetime | None = None,
 ) -> DataFrame:
     """Train one Tweedie model, save it, score the target day and replace its slice."""
-    spark = fact.sparkSession
-    source = materialize(fact, "daily-sales")
-    frame, features = learning.training_frame(features_v2(source, start, end), features=learning.model_features())
-    frame = materialize(frame, "training-frame")
-    params = params or {}
-    model = learning.train_tweedie(frame, features, variance_power=params.get("variance_power", 1.4))
-    learning.save_model(model, features, f"{path}/model")
-    sink.prepare_slice(spark, f"{path}/predictions", target)
-    scored = learning.predict(model, history_v2.scoring_frame(source, target), features)
-    stamped = scored.withColumn("CreatedAt", F.lit(created_at).cast("timestamp")).withColumn("ModelVersion", F.lit(model_version))
-    sink.replace_slice(stamped, f"{path}/predictions", target)
+    spark, params = fact.sparkSession, params or {}
+    with scratch_scope(spark):
+        source = materialize(fact, "daily-sales")
+        frame, features = learning.training_frame(features_v2(source, start, end), features=learning.model_features())
+        frame = materialize(frame, "training-frame")
+        model = learning.train_tweedie(frame, features, variance_power=params.get("variance_power", 1.4))
+        learning.save_model(model, features, f"{path}/model")
+        sink.prepare_slice(spark, f"{path}/predictions", target)
+        scored = learning.predict(model, history_v2.scoring_frame(source, target), features)
+        stamped = scored.withColumn("CreatedAt", F.lit(created_at).cast("timestamp")).withColumn(
+            "ModelVersion", F.lit(model_version))
+        sink.replace_slice(stamped, f"{path}/predictions", target)
     return sink.read_table(spark, f"{path}/predictions", stamped.schema)
 
 
@@ -162,10 +163,11 @@ def tune_parameters(
     fact: DataFrame, start, end, path: str, grid: dict | None = None, trials: int = 50
 ) -> tuple[dict, DataFrame]:
     """Search the grid on a later slice of days and save the best parameters."""
-    frame, features = learning.training_frame(features_v2(fact, start, end), features=learning.model_features())
-    train, holdout = split_by_date(materialize(frame, "training-frame"))
     grid = grid or {"variance_power": learning.TUNING_GRID["variance_power"]}
-    best, results = learning.tune(train, holdout, features, grid, trials=trials)
+    with scratch_scope(fact.sparkSession):
+        frame, features = learning.training_frame(features_v2(fact, start, end), features=learning.model_features())
+        train, holdout = split_by_date(materialize(frame, "training-frame"))
+        best, results = learning.tune(train, holdout, features, grid, trials=trials)
     sink.save_params(fact.sparkSession, best, path)
     return best, results
 
@@ -213,6 +215,7 @@ def train_and_recommend(
 ) -> DataFrame:
     """Train, score the reference day, recommend and save; returns the stored recommendations."""
     predictions = train_and_score(fact, start, end, reference_date, path, created_at=created_at)
-    recommend_from_stored(
-        predictions, rules, sales, reference_date, f"{path}/recommendations", created_at, model_version="tweedie_v1")
+    with scratch_scope(fact.sparkSession):
+        recommend_from_stored(
+            predictions, rules, sales, reference_date, f"{path}/recommendations", created_at, model_version="tweedie_v1")
     return fact.sparkSession.read.parquet(f"{path}/recommendations")

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows of a narrow dimension (about a hundred bytes each) that every executor can hold.
 BROADCAST_ROWS = 1_000_000
 
-_local_scratch: dict[str, str] = {}
+_local_scratch: dict[str, tempfile.TemporaryDirectory] = {}
+_scopes: list[list[str]] = []
 
 
 def get_spark(app: str = "shelfcast", master: str | None = None, cpus: int = 8) -> SparkSession:
@@ -42,13 +45,29 @@ def scratch_root(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if sc.applicationId not in _local_scratch:
-        _local_scratch[sc.applicationId] = tempfile.mkdtemp(prefix="shelfcast-")
-    return _local_scratch[sc.applicationId]
+        _local_scratch[sc.applicationId] = tempfile.TemporaryDirectory(prefix="shelfcast-", ignore_cleanup_errors=True)
+    return _local_scratch[sc.applicationId].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder, never used before."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside, once the results that need them are written."""
+    from shelfcast.functions import files
+
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            files.delete(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,7 @@ from shelfcast.functions import files
 from shelfcast.schemas import (
     FEATURES, PREDICTION_COLUMNS_V1, PREDICTIONS, RECOMMENDATIONS, RECOMMENDATIONS_ADDED, categorical_indexes,
 )
-from shelfcast.session import scratch_path, scratch_root
+from shelfcast.session import materialize, scratch_path, scratch_root, scratch_scope
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored
 
@@ -158,6 +158,15 @@ def test_feature_vector():
     assert len(FEATURES) == 35 and categorical_indexes() == [0, 1, 2, 3, 4, 7, 8, 9, 10, 11, 12, 13, 16, 19, 20, 34]
 
 
+def test_scope_deletes_only_its_own_tables(spark, predictions):
+    kept = materialize(predictions, "kept")
+    with scratch_scope(spark):
+        inside = materialize(predictions, "inside")
+        path = inside.inputFiles()[0].rsplit("/", 1)[0]
+        assert inside.count() == 12 and files.exists(spark, path)
+    assert not files.exists(spark, path) and kept.count() == 12
+
+
 def test_scratch_folder_follows_the_session(spark, monkeypatch):
     class Conf:
         def get(self, key, default=None):
