@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.session import materialize
 
-__all__ = ["LAST_ID", "documents", "keyed", "materialize", "free_name", "small_batches", "table"]
+__all__ = ["LAST_ID", "documents", "free_name", "hash_of", "id_of", "keyed", "materialize", "prepare_python", "table"]
 
 # Takes the place of a NULL id inside the operators, so such a row sorts behind all others.
 LAST_ID = 2**63 - 1
+_sent: dict[str, tempfile.TemporaryDirectory] = {}
 # Rows and bytes of one Arrow batch: a batch of long texts has to fit a Python worker.
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
@@ -22,10 +27,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that go to Python workers."""
+def prepare_python(spark: SparkSession) -> None:
+    """Bound the Arrow batches that go to Python workers, and send them this package once per application."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    sc = spark.sparkContext
+    if sc.applicationId not in _sent:
+        _sent[sc.applicationId] = kept = tempfile.TemporaryDirectory(prefix="shelfcast-code-", ignore_cleanup_errors=True)
+        root = Path(__file__).resolve().parents[2]
+        archive = Path(kept.name, "shelfcast.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.glob("shelfcast/**/*.py")):
+                z.write(f, f.relative_to(root))
+        sc.addPyFile(str(archive))
 
 
 def keyed(docs: DataFrame) -> DataFrame:

@@ -42,6 +42,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> D
         rows.groupBy("h").agg(F.count_distinct("id").alias("n"), F.min("id").alias("first"))
         .where(F.col("n") >= min_docs).select("h", "first")
     )
+    holders = materialize(holders, "line-holders")  # stored, so the join's own exchanges can be split at a hot line
     lost = rows.join(holders, "h").where(F.col("id") != F.col("first"))
     return lost.groupBy("id", "th").agg(F.collect_set("pos").alias("dropped"))
 

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import linededup, simhash
-from shelfcast.llm.common import documents
+from shelfcast.llm import chat, codec, fingerprints as fpr, linededup, packing, quality, sharding, simhash, tokencount, vectors
+from shelfcast.llm.common import documents, table
+
+TOKENIZERS = "/opt/tokenizers"
+WORD_BPE, BYTE_BPE = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +22,28 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fpr.edited_pairs(documents(spark, sf_dir).select("doc_id", "text"))
+    pairs = pairs.withColumn("edited_fp", fpr.fingerprint(F.col("edited")))
+    shown = lambda c: F.array_join(F.transform(c, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+    return pairs.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        shown("fingerprint").alias("fingerprint"), shown("edited_fp").alias("edited_fingerprint"),
+        fpr.resemblance(F.col("fingerprint"), F.col("edited_fp")).alias("near_edited"),
+        fpr.resemblance(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        fpr.distinct_count(F.col("fingerprint")).alias("n_shingles"),
+    )
+
+
+@query
+def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shard_by_size(documents(spark, sf_dir).select("doc_id", "text"))
+    return dealt.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
@@ -43,6 +68,44 @@ from marked group by doc_id
 """
 
 
+@query
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.resample(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "log_weight", "sort_key", "kept")
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(documents(spark, sf_dir), WORD_BPE)
+
+
+@query
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(rows.union(probe)))
+
+
+@query
+def op8_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack(documents(spark, sf_dir), WORD_BPE)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op9_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = codec.decode(codec.encode(documents(spark, sf_dir), BYTE_BPE), BYTE_BPE)
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @query
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))

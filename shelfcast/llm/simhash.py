@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shelfcast.llm.common import LAST_ID, free_name, hash_of, id_of, keyed, materialize, small_batches
+from shelfcast.llm.common import LAST_ID, free_name, hash_of, id_of, keyed, materialize, prepare_python
 from shelfcast.llm.components import components
 
 PARTS = [0xFFFF << s for s in (0, 16, 32, 48)]
@@ -58,7 +58,7 @@ def simhash(text: bytes, words: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """(id, th, doc_id, fp) of every document."""
-    small_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
