@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.session import materialize
 
-__all__ = ["LAST_ID", "documents", "free_name", "hash_of", "id_of", "keyed", "materialize", "prepare_python", "table"]
+__all__ = ["LAST_ID", "documents", "free_name", "hash_of", "id_of", "keyed", "materialize", "prepare_python", "runs", "table"]
 
 # Takes the place of a NULL id inside the operators, so such a row sorts behind all others.
 LAST_ID = 2**63 - 1
@@ -69,3 +72,23 @@ def id_of(docs: DataFrame) -> Column:
 
 def hash_of(docs: DataFrame) -> Column:
     return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
+def runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of equal ``by`` in sorted batches; a run may span batches."""
+    held: list[pa.RecordBatch] = []
+    at: tuple | None = None
+    for b in batches:
+        if not len(b):
+            continue
+        columns = [b.column(c).to_numpy() for c in by]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(b)]):
+            key = tuple(int(c[lo]) for c in columns)
+            if held and key != at:
+                yield at, pa.Table.from_batches(held)
+                held = []
+            at = key
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield at, pa.Table.from_batches(held)

@@ -1,7 +1,8 @@
-"""Connected components of a link table by randomised contraction."""
+"""Connected components: of a link table by randomised contraction, of a small link matrix in memory."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm.common import materialize
@@ -41,3 +42,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def _tidy(links: DataFrame) -> DataFrame:
     return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def spanning(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Component numbers of the rows and columns of a link matrix; a row and a column share one if links join them."""
+    i, j = np.nonzero(hit)
+    a, b = np.arange(hit.shape[0]), np.full(hit.shape[1], hit.shape[0])
+    while True:
+        before = a.copy()
+        np.minimum.at(b, j, a[i])
+        np.minimum.at(a, i, b[j])
+        if (before == a).all():
+            return a, b

@@ -142,7 +142,7 @@ def top_k_key(keys: DataFrame, k: int) -> tuple[int, int]:
     total = keys.count()
     if k >= total:
         return (-(2**63), -(2**63))
-    return boundaries(keys.withColumn("size", F.lit(1).cast("long")), [total - k], 0, whole=False)[0]
+    return boundaries(keys.withColumn("size", F.lit(1).cast("long")), [total - k], 0, 1)[0]
 
 
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: float = 0.995, seed: int = 17) -> DataFrame:

@@ -4,8 +4,8 @@ Rows are ordered by (hash of the text, doc_id), so equal texts stand together
 in the order. Per round every task counts the bytes of its rows between
 candidate boundaries; the counts give each wanted boundary a narrower bracket
 with new candidates inside, until one lies within the tolerance. A boundary
-beside a group of equal texts keeps the group whole; a group that is itself
-larger than the tolerance allows is cut at a doc_id. Boundaries are
+beside a group of equal texts keeps the group whole; only a group of more than
+a tenth of a shard is cut, at a doc_id. Boundaries are
 few numbers (``shards`` times ``parts``), whatever the rows; texts move once,
 by range, and the slot of a row is its rank in its part plus the counts of the
 earlier parts.
@@ -16,6 +16,7 @@ all other ids. Repeated rows are ranked in any order. An empty table gives no ro
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,13 +33,14 @@ PROBES = 33
 
 @dataclass
 class Bracket:
-    """A wanted boundary: ``below`` bytes lie under ``low``, ``upto`` under ``high``."""
+    """A wanted boundary lies between the keys ``low`` and ``high`` (exclusive), under which ``below`` and ``upto`` bytes lie."""
 
     want: int
     low: Key
     below: int
     high: Key
     upto: int
+    inside: bool = False  # in a group of equal hashes, which may be cut
 
 
 def _flat(key: Key) -> int:
@@ -50,13 +52,16 @@ def _key(flat: int) -> Key:
 
 
 def _probes(b: Bracket, n: int = PROBES) -> list[Key]:
-    """Candidates inside a bracket: even steps, and the place that even density would give."""
+    """Candidates inside a bracket: even steps, and close steps where even density would put the boundary.
+
+    Outside a group of equal hashes they are first keys of a hash.
+    """
     low, high = _flat(b.low), _flat(b.high)
     guess = low + (high - low) * (b.want - b.below) // max(1, b.upto - b.below)
     width = max(1, (high - low) // (n * n))
     spots = {low + (high - low) * i // (n + 1) for i in range(1, n + 1)} | {guess + width * i for i in range(-n // 2, n // 2)}
-    # The first key of the hash and of the next one: between groups of equal texts.
-    spots |= {s & ~(2**64 - 1) for s in spots} | {(s | (2**64 - 1)) + 1 for s in spots}
+    if not b.inside:
+        spots = {s >> 64 << 64 for s in spots}
     return [_key(s) for s in sorted(spots) if low < s < high]
 
 
@@ -69,66 +74,91 @@ def _sortable(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(pair).view("S16").ravel()
 
 
-def bytes_below(rows: DataFrame, bounds: list[Key]) -> list[int]:
-    """Exact sum of ``size`` of the rows (k1, k2, size) below each of the ascending ``bounds``."""
+def histogram(rows: DataFrame, bounds: list[Key]) -> dict[int, tuple[int, Key, Key]]:
+    """Of the rows (k1, k2, size) from each of the ascending ``bounds`` to the next: exact sum of sizes, first and last key.
+
+    Numbered from 0, the rows below the first bound; every task sends one row per number at most.
+    """
     edges = _sortable(np.array([b[0] for b in bounds], np.int64), np.array([b[1] for b in bounds], np.int64))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(edges) + 1, np.int64)
+        size, ends = Counter(), {}
         for b in batches:
-            at = np.searchsorted(edges, _sortable(b.column("k1").to_numpy(), b.column("k2").to_numpy()), side="right")
-            np.add.at(total, at, b.column("size").to_numpy())
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["bin", "size"])
-
-    bins = rows.select("k1", "k2", "size").mapInArrow(count, "bin long, size long").groupBy("bin").agg(F.sum("size").alias("size"))
-    total = np.zeros(len(edges) + 1, np.int64)
-    for r in bins.collect():  # one row per candidate at most
-        total[r["bin"]] = r["size"]
-    return [int(x) for x in np.cumsum(total)[:-1]]
-
-
-def boundaries(rows: DataFrame, wants: list[int], slack: int, whole: bool = True) -> list[Key]:
-    """For each of ``wants`` a key below which as many bytes lie, to within ``slack`` or as near as the rows allow.
-
-    ``whole``: the first key of a hash (between groups of equal texts) is
-    taken while one is within the slack.
+            k1, k2 = b.column("k1").to_numpy(), b.column("k2").to_numpy()
+            keys = _sortable(k1, k2)
+            order = np.argsort(keys)
+            at = np.searchsorted(edges, keys[order], side="right")
+            bins, first = np.unique(at, return_index=True)
+            last = [*first[1:] - 1, len(at) - 1]
+            for n, lo, hi, total in zip(bins, order[first], order[last], np.add.reduceat(b.column("size").to_numpy()[order], first) if len(at) else []):
+                lowest, highest = (int(k1[lo]), int(k2[lo])), (int(k1[hi]), int(k2[hi]))
+                old = ends.get(n, (lowest, highest))
+                size[n] += int(total)
+                ends[n] = min(old[0], lowest), max(old[1], highest)
+        out = [(int(n), size[n], *ends[n][0], *ends[n][1]) for n in size]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 6)], ["bin", "size", "a1", "a2", "z1", "z2"])
+
+    bins = rows.select("k1", "k2", "size").mapInArrow(count, "bin long, size long, a1 long, a2 long, z1 long, z2 long")
+    summed = bins.groupBy("bin").agg(
+        F.sum("size").alias("size"), F.min(F.struct("a1", "a2")).alias("first"), F.max(F.struct("z1", "z2")).alias("last"))
+    return {r["bin"]: (r["size"], tuple(r["first"]), tuple(r["last"])) for r in summed.collect()}  # few rows, whatever the table
+
+
+def boundaries(rows: DataFrame, wants: list[int], slack: int, keep: int) -> list[Key]:
+    """For each of the ascending ``wants`` a key below which as many bytes lie, to within ``slack`` or as near as the rows allow.
+
+    A boundary falls between groups of equal hashes. Only a group of more than
+    ``keep`` bytes is cut inside, by the second key.
     """
     total = rows.agg(F.sum("size")).first()[0] or 0
-    top: Key = _key(2**128 - 1)
-    open_ = {i: Bracket(want, LOW, 0, top, total) for i, want in enumerate(wants)}
+    open_ = {i: Bracket(want, LOW, 0, _key(2**128 - 1), total) for i, want in enumerate(wants)}
     found: dict[int, Key] = {}
     while open_:
-        probes = sorted({p for b in open_.values() for p in _probes(b)})
-        counts = dict(zip(probes, bytes_below(rows, probes))) if probes else {}
-        counts |= {k: v for b in open_.values() for k, v in ((b.low, b.below), (b.high, b.upto))}
-        order = sorted(counts)
+        probes = sorted({p for b in open_.values() for p in (*_probes(b), b.low, b.high)})
+        bins = histogram(rows, probes)
+        spans, below = [], 0
+        for n in sorted(bins):
+            size, first, last = bins[n]
+            spans.append((below, below + size, first, last))
+            below += size
         for i, b in list(open_.items()):
-            inside = [k for k in order if b.low <= k <= b.high]
-            near = [k for k in inside if abs(counts[k] - b.want) <= slack]
-            between = [k for k in near if k[1] == LOW[1]]
-            low = max(k for k in inside if k == b.low or (k < b.high and counts[k] <= b.want))
-            high = min(k for k in inside if k == b.high or (k > low and counts[k] > b.want))
-            done = _flat(high) - _flat(low) <= 1 or counts[high] == counts[low]
-            if between or done or (near and (not whole or low[0] == high[0])):
-                found[i] = min(between or near or (low, high), key=lambda k: (abs(counts[k] - b.want), k))
-                del open_[i]
+            span = next((s for s in spans if s[0] <= b.want < s[1]), None)
+            if span is None:  # nothing, or no more, lies below
+                found[i] = _key(2**128 - 1) if b.want else LOW
             else:
-                open_[i] = Bracket(b.want, low, counts[low], high, counts[high])
+                lo, hi, first, last = span
+                one = first == last if b.inside else first[0] == last[0]
+                after = _key(_flat(last) + 1) if b.inside else (last[0] + 1, LOW[1])
+                if min(b.want - lo, hi - b.want) <= slack or (one and (b.inside or first == last or hi - lo <= keep)):
+                    found[i] = first if b.want - lo <= hi - b.want else after
+                else:
+                    open_[i] = Bracket(b.want, first, lo, after, hi, b.inside or one)
+            if i in found:
+                del open_[i]
     return [found[i] for i in range(len(wants))]
 
 
-def splitters(rows: DataFrame, parts: int, tolerance: float = 0.005) -> list[Key]:
-    """Boundaries (a row at or above boundary i lies in part i + 1 or later) of ``parts`` parts of near equal size.
+def splitters(rows: DataFrame, shards: int, per: int = 1, tolerance: float = 0.005, keep: float = 0.1) -> list[Key]:
+    """Boundaries of ``shards * per`` ranges (a row at or above boundary i lies in range i + 1 or later).
 
-    Each is within ``tolerance`` of a part's size. Between groups of equal
-    texts if possible, else a group is cut at a doc_id.
+    Those of shards lie within ``tolerance`` of a shard's size of the even
+    cut, between groups of equal texts unless a group exceeds the share ``keep`` of a shard.
+    Those of the ranges inside a shard only even out tasks.
     """
     total = rows.agg(F.sum("size")).first()[0] or 0
-    return boundaries(rows, [total * i // parts for i in range(1, parts)], int(total / parts * tolerance))
-
-
-def shard_by_size(docs: DataFrame, shards: int = 16, parts: int | None = None, tolerance: float = 0.005) -> DataFrame:
+    part = total / shards
+    outer = boundaries(rows, [total * i // shards for i in range(1, shards)], int(part * tolerance), int(part * keep))
+    inner = [i for i in range(1, shards * per) if i % per]
+    inner = dict(zip(inner, boundaries(rows, [total * i // (shards * per) for i in inner], int(part / per * 0.05), 0)))
+    ends = [LOW, *outer, _key(2**128 - 1)]
+    cut = []
+    for i in range(1, shards * per):
+        s = i // per
+        cut.append(ends[s] if i % per == 0 else min(max(inner[i], ends[s]), ends[s + 1]))
+    return cut
+
+
+def shard_by_size(docs: DataFrame, shards: int = 16, parts: int | None = None, tolerance: float = 0.005, keep: float = 0.1) -> DataFrame:
     """``docs`` with size, shard and slot (gapless from 0 in each shard), stored by shard in the order of the keys.
 
     ``parts`` is the number of range partitions of the exchange; a multiple of
@@ -141,7 +171,7 @@ def shard_by_size(docs: DataFrame, shards: int = 16, parts: int | None = None, t
     n = {c: free_name(docs, c) for c in ("k1", "k2", "size", "part", "shard", "slot")}
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
     sizes = materialize(docs.select(hash_of(docs).alias("k1"), id_of(docs).alias("k2"), size.alias("size")), "sizes")
-    bounds = splitters(sizes, shards * per, tolerance)
+    bounds = splitters(sizes, shards, per, tolerance, keep)
     edges = _sortable(np.array([b[0] for b in bounds], np.int64), np.array([b[1] for b in bounds], np.int64))
 
     @F.arrow_udf("int")

@@ -26,12 +26,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shelfcast.llm.common import LAST_ID, free_name, hash_of, id_of, keyed, materialize, prepare_python
-from shelfcast.llm.components import components
+from shelfcast.llm.common import LAST_ID, free_name, hash_of, id_of, keyed, materialize, prepare_python, runs
+from shelfcast.llm.components import components, spanning
 
 PARTS = [0xFFFF << s for s in (0, 16, 32, 48)]
 KEYS = [a | b for a, b in combinations(PARTS, 2)]
-BUCKET = 64
+BUCKET, CHUNK, TEXTS = 64, 2048, 128
 SEED = 42
 
 
@@ -39,8 +39,8 @@ def _signed(v: int) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
-def simhash(text: bytes, words: int = 3) -> int:
-    """Fingerprint as a signed 64-bit number: a bit is set if over half of the shingle hashes have it."""
+def simhash(text: bytes, words: int = 3, distinct: bool = False) -> int:
+    """Fingerprint as a signed 64-bit number: a bit is set if over half of the shingle hashes (of the distinct ones) have it."""
     parts = text.lower().split()
     if not parts:
         return 0
@@ -48,6 +48,8 @@ def simhash(text: bytes, words: int = 3) -> int:
         shingles = [b" ".join(parts)]
     else:
         shingles = list(map(b" ".join, zip(*[parts[i:] for i in range(words)])))
+    if distinct:
+        shingles = set(shingles)
     hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8")
     bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
@@ -56,13 +58,13 @@ def simhash(text: bytes, words: int = 3) -> int:
     return int(np.packbits(bits * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 3, distinct: bool = False) -> DataFrame:
     """(id, th, doc_id, fp) of every document."""
     prepare_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = pa.array([simhash(t, words) for t in b.column("text").to_pylist()], pa.int64())
+            fps = pa.array([simhash(t, words, distinct) for t in b.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), b.column("doc_id"), fps], ["id", "th", "doc_id", "fp"])
 
     rows = keyed(docs).withColumn("text", F.col("text").cast("binary"))
@@ -107,12 +109,143 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 2, bucket:
     return out.select("id", "th", "doc_id", "fp", F.when(F.col("component_id") != LAST_ID, F.col("component_id")).alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
-    """``docs`` with one row of each component: of the smallest doc_id the least text hash, of repeated rows one."""
-    found = near_duplicates(docs, words, distance)
+def block_masks(blocks: int, agree: int) -> list[int]:
+    """Bits of every choice of ``agree`` of ``blocks`` equal blocks."""
+    width = 64 // blocks
+    each = [((1 << width) - 1) << (width * i) for i in range(blocks)]
+    return [sum(c) for c in combinations(each, agree)]
+
+
+def wide_links(fps: DataFrame, distance: int, blocks: int, agree: int, bucket: int = BUCKET, chunk: int = CHUNK) -> DataFrame:
+    """(a, b): links that connect the distinct fingerprints ``fps`` (fp) at ``distance`` bits or fewer that agree in ``agree`` blocks.
+
+    Up to ``blocks - agree`` differing bits that is certain. Small buckets are
+    joined with themselves; full ones are cut into chunks, every pair of chunks
+    is compared as a matrix, and a spanning set of its links is returned.
+    """
+    prepare_python(fps.sparkSession)
+    masks = block_masks(blocks, agree)
+    keys = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for i, m in enumerate(masks)
+    ])).alias("key")
+    entries = fps.select("fp", keys).select("key.k", "key.v", "fp")
+    sizes = entries.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    stored = materialize(entries.join(sizes, ["k", "v"]), "wide-blocks")
+    differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    few = stored.where(F.col("n") <= bucket).select("k", "v", F.col("fp").alias("a"))
+    joined = few.join(few.withColumnRenamed("a", "b"), ["k", "v"]).where((F.col("a") < F.col("b")) & (differ <= distance)).select("a", "b")
+    pairs = _chunk_pairs(stored.where(F.col("n") > bucket), ["k", "v"], "fp", chunk)
+    group = ["k", "v", "ca", "cb"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in runs(batches, group):
+            fp, own = rows.column("fp").to_numpy(), rows.column("own").to_numpy()
+            x = fp[own == key[2]]
+            y = x if key[2] == key[3] else fp[own == key[3]]
+            if len(x) and len(y):
+                hit = np.bitwise_count(x[:, None].view(np.uint64) ^ y[None].view(np.uint64)) <= distance
+                yield _star(hit, x, y)
+
+    full = pairs.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long")
+    return joined.distinct().union(full)
+
+
+def _chunk_pairs(rows: DataFrame, by: list[str], member: str, chunk: int) -> DataFrame:
+    """Rows of groups (``by``, size n) dealt to chunks ``own``, once for each pair (ca, cb) of chunks that holds them."""
+    chunks = F.ceil(F.col("n") / chunk).cast("int")
+    own = F.pmod(F.xxhash64(F.lit(SEED), member), chunks).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    return dealt.withColumns({"ca": F.least("own", "other"), "cb": F.greatest("own", "other")}).drop("other", "n")
+
+
+def _star(hit: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """Links (a, b) that connect what the matrix of links connects."""
+    rows, columns = spanning(hit)
+    used = columns < len(x)
+    a, b = np.concatenate([x, y[used]]), np.concatenate([x[rows], x[columns[used]]])
+    return pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+
+
+def shingle_ids(text: bytes, words: int) -> np.ndarray:
+    """Ascending distinct hashes of the shingles of a text."""
+    parts = text.lower().split()
+    if not parts:
+        return np.zeros(0, np.int64)
+    shingles = map(b" ".join, zip(*[parts[i:] for i in range(words)])) if len(parts) > words else [b" ".join(parts)]
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in set(shingles)], "<u8").view(np.int64))
+
+
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray], width: int = 1 << 14) -> np.ndarray:
+    """Matrix of the numbers of hashes that each of ``x`` shares with each of ``y``."""
+    both = np.intersect1d(*(np.unique(np.concatenate(s)) for s in (x, y)), assume_unique=True)
+    total = np.zeros((len(x), len(y)), np.float32)
+    for at in range(0, len(both), width):
+        total += _incidence(x, both[at:at + width]) @ _incidence(y, both[at:at + width]).T
+    return total
+
+
+def _incidence(sets: list[np.ndarray], wanted: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(wanted)), np.float32)
+    for i, s in enumerate(sets):
+        out[i, np.searchsorted(wanted, s[np.isin(s, wanted, assume_unique=True)])] = 1
+    return out
+
+
+def verified_links(texts: DataFrame, least: float, words: int, chunk: int = TEXTS) -> DataFrame:
+    """(a, b): links of texts (root, n texts of the root, th, text) that connect, inside each root, those of a Jaccard similarity of ``least`` or more.
+
+    Exact, on the distinct shingles of the whole texts; chunk pairs of a root are compared apart.
+    """
+    prepare_python(texts.sparkSession)
+    group = ["root", "ca", "cb"]
+    pairs = _chunk_pairs(texts, ["root"], "th", chunk).withColumn("text", F.col("text").cast("binary"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in runs(batches, group):
+            th, own = rows.column("th").to_numpy(), rows.column("own").to_numpy()
+            sets = [shingle_ids(t.as_py(), words) for t in rows.column("text")]
+            i = np.flatnonzero(own == key[1])
+            j = i if key[1] == key[2] else np.flatnonzero(own == key[2])
+            if not len(i) or not len(j):
+                continue
+            x, y = [sets[a] for a in i], [sets[b] for b in j]
+            both = shared_counts(x, y)
+            union = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y]) - both
+            yield _star((both >= least * union - 1e-6), th[i], th[j])
+
+    return pairs.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long")
+
+
+def near_copies(
+    docs: DataFrame, least: float = 0.8, words: int = 5, distance: int = 10, blocks: int = 8, agree: int = 3,
+) -> DataFrame:
+    """(id, th) of the documents to keep: one of each group of near copies, by SimHash candidates and an exact check.
+
+    Candidates are fingerprints of the distinct words, which change little with
+    a small edit; texts that candidates connect are then compared by the
+    Jaccard similarity of their shingles of ``words`` words. Equal texts are one.
+    """
+    rows = materialize(fingerprints(docs, 1, distinct=True), "word-fingerprints")
+    texts = materialize(rows.groupBy("th").agg(F.min("fp").alias("fp"), F.min("id").alias("first")), "distinct-texts")
+    roots = components(wide_links(texts.select("fp").distinct(), distance, blocks, agree))
+    grouped = texts.join(roots, F.col("fp") == F.col("node"), "left").select("th", "first", F.coalesce("root", "fp").alias("root"))
+    grouped = materialize(grouped, "candidate-groups")
+    sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    asked = materialize(grouped.join(sizes, "root"), "candidate-texts")
+    whole = keyed(docs).select("id", "th", "text").join(asked.select("th", F.col("first").alias("id"), "root", "n"), ["id", "th"])
+    whole = whole.select("root", "n", "th", "text")
+    links = materialize(verified_links(whole, least, words), "verified-links")
+    found = components(links)
+    named = texts.join(found, F.col("th") == F.col("node"), "left").select("th", "first", F.coalesce("root", "th").alias("root"))
+    named = materialize(named, "text-groups")
+    best = named.groupBy("root").agg(F.min(F.struct("first", "th")).alias("best")).select(F.col("best.first").alias("id"), F.col("best.th").alias("th"))
+    return best
+
+
+def drop_near_duplicates(docs: DataFrame, least: float = 0.8, words: int = 5) -> DataFrame:
+    """``docs`` with one row of each group of near copies: of the smallest doc_id; of repeated rows one."""
     n = {c: free_name(docs, f"keep_{c}") for c in ("id", "th", "row")}
-    keep = found.groupBy(F.coalesce("component_id", F.lit(LAST_ID))).agg(F.min(F.struct("id", "th")).alias("m"))
-    keep = keep.select(F.col("m.id").alias(n["id"]), F.col("m.th").alias(n["th"]))
+    keep = near_copies(docs, least, words).toDF(n["id"], n["th"])
     order = Window.partitionBy(n["id"], n["th"]).orderBy(n["id"])
     once = docs.withColumns({n["id"]: id_of(docs), n["th"]: hash_of(docs)}).withColumn(n["row"], F.row_number().over(order))
     return once.where(F.col(n["row"]) == 1).join(keep, [n["id"], n["th"]], "left_semi").select(*docs.columns)

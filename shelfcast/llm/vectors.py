@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcast.llm.common import LAST_ID, materialize, prepare_python
-from shelfcast.llm.components import components
+from shelfcast.llm.common import LAST_ID, materialize, prepare_python, runs
+from shelfcast.llm.components import components, spanning
 
-TABLES, PROBES, PARTS, CHUNK = 8, 8, 4, 512
+TABLES, PROBES, PARTS, CHUNK = 6, 8, 4, 512
 SEED = 11
 
 
@@ -125,18 +125,6 @@ def hashed(classes: DataFrame, tables: int = TABLES, n: int = PROBES) -> DataFra
         run, "rep long, label long, v array<double>, n long, first long, size int, keys array<long>")
 
 
-def _roots(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Component numbers of the rows and columns of a link matrix; a row and a column share one if links join them."""
-    i, j = np.nonzero(hit)
-    a, b = np.arange(hit.shape[0]), np.full(hit.shape[1], hit.shape[0])
-    while True:
-        before = a.copy()
-        np.minimum.at(b, j, a[i])
-        np.minimum.at(a, i, b[j])
-        if (before == a).all():
-            return a, b
-
-
 def compare(x: dict, y: dict, key: int, least: float, same: bool) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Links of a chunk pair of bucket ``key``: (reps, number of vectors linked to each, one rep of its component here).
 
@@ -150,7 +138,8 @@ def compare(x: dict, y: dict, key: int, least: float, same: bool) -> list[tuple[
         hit &= (a @ b.T) == 0
     if same:
         np.fill_diagonal(hit, False)
-    rows, columns = _roots(hit)
+    # A vector is a row and a column of one chunk, which the diagonal ties together.
+    rows, columns = spanning(hit | np.eye(len(hit), dtype=bool) if same else hit)
     out = [(x["rep"], hit @ y["n"], x["rep"][rows])]
     return out if same else [*out, (y["rep"], hit.T @ x["n"], x["rep"][np.minimum(columns, len(rows) - 1)])]
 
@@ -178,7 +167,7 @@ def linked(stored: DataFrame, least: float = 0.98, chunk: int = CHUNK) -> DataFr
     rows = pair.join(stored.select("rep", "v", "n", "keys"), "rep").repartition(*group).sortWithinPartitions(*group, "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, both in _groups(batches, group):
+        for key, both in runs(batches, group):
             v, own_ = _matrix(both.column("v").combine_chunks()), both.column("own").to_numpy()
             whole = {"v": v, "norm": np.linalg.norm(v, axis=1), "keys": _matrix(both.column("keys").combine_chunks()),
                      "rep": both.column("rep").to_numpy(), "n": both.column("n").to_numpy()}
@@ -195,26 +184,6 @@ def linked(stored: DataFrame, least: float = 0.98, chunk: int = CHUNK) -> DataFr
     return rows.mapInArrow(run, "rep long, n long, root long")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Runs of equal ``by`` in sorted batches; a run may span batches."""
-    held: list[pa.RecordBatch] = []
-    at: tuple | None = None
-    for b in batches:
-        if not len(b):
-            continue
-        columns = [b.column(c).to_numpy() for c in by]
-        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(b)]):
-            key = tuple(int(c[lo]) for c in columns)
-            if held and key != at:
-                yield at, pa.Table.from_batches(held)
-                held = []
-            at = key
-            held.append(b.slice(lo, hi - lo))
-    if held:
-        yield at, pa.Table.from_batches(held)
-
-
 def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = TABLES, n: int = PROBES, chunk: int = CHUNK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector."""
     rows, classes = distinct_vectors(vectors)
