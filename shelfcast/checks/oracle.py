@@ -166,7 +166,7 @@ PARTS["cat_class"] = """select p.pointid, p.categoryid, p.category_sales,
  from ptot p join cat_edges e on p.categoryid = e.categoryid"""
 PARTS["gaps"] = """select c.pointid, c.categoryid, t.point_total_class, c.point_category_class,
  t.point_total_class - c.point_category_class as class_gap from cat_class c left join tot_class t on c.pointid = t.pointid"""
-PARTS["pairs"] = """select PointID as pointid, CategoryID as categoryid, greatest(avg(greatest(predict_new, 0)), 0) as predicted_sum,
+PARTS["pairs"] = """select PointID as pointid, CategoryID as categoryid, greatest(coalesce(avg(case when predict_new < 0 then 0 else predict_new end), 0), 0) as predicted_sum,
  coalesce(arg_min(DaysNextVisit, VisitDate), 7) as days_until_visit from predictions group by all"""
 PARTS["budget"] = """select p.*, g.point_total_class, g.point_category_class, coalesce(g.class_gap, 0) as class_gap,
  case when g.class_gap > 0 then 1e0 + g.class_gap * 1e-1 else 1e0 end as factor,
@@ -305,7 +305,9 @@ O["training_matrix_v1"] = ("select f.* replace (" + ", ".join(
     + ["coalesce(round(Average_Interval_Category, 4), 0) as Average_Interval_Category"]) + f") from feats1 f, iqr where {_WITHIN}")
 O["time_series_folds"] = """select VisitDate, PointID, CategoryID, SumRoubles,
  cast(case when i < n - 5 * (n // 6) then 0 else 1 + (i - (n - 5 * (n // 6))) // (n // 6) end as int) as block
- from (select *, count(*) over () as n, row_number() over (order by VisitDate, PointID % 1024, PointID, CategoryID) - 1 as i from day_fact)"""
+ from (select *, count(*) over () as n, row_number() over (order by VisitDate, cast('0x' || substr(md5(cast(PointID as varchar)), 1, 3) as int), PointID, CategoryID) - 1 as i from day_fact)"""
+O["kfold"] = """select VisitDate, PointID, CategoryID,
+ cast(cast('0x' || substr(md5(VisitDate || '|' || PointID || '|' || CategoryID || '|42'), 1, 7) as bigint) % 5 as int) as fold from day_fact"""
 O["forecast_sanitise"] = """select * replace (round(least(forecast, greatest((select quantile_cont(forecast, 0.999) from wild1), 1e6)), 4) as forecast) from wild1"""
 O["prediction_confidence"] = "select * replace (round(Prediction_Confidence, 9) as Prediction_Confidence) from confident"
 O["forecast_range"] = """select round(min(forecast), 6) as min_forecast, round(max(forecast), 6) as max_forecast, round(avg(forecast), 6) as mean_forecast,
@@ -317,6 +319,20 @@ O["regression_metrics"] = """select CategoryID, count(*) as n, round(avg(abs(Sum
 O["bias_ratio"] = """select round(sum(SumRoubles) / sum(forecast), 9) as bias_ratio, round(abs(sum(SumRoubles) / sum(forecast) - 1), 9) as distance from baseline"""
 _NOT_31 = "VisitDate <> date '1998-03-31'"
 O["replace_slice_roundtrip"] = f"select *, case when {_NOT_31} then 'a' else 'b' end as model from predictions"
+O["forecasts_with_nulls"] = """select PointID as pointid, CategoryID as categoryid,
+ coalesce(avg(case when v < 0 then 0 else v end), 0e0) as predicted_sum, coalesce(arg_min(DaysNextVisit, VisitDate), 7) as days_until_visit
+ from (select *, case when (PointID + day(VisitDate)) % 3 = 0 then null when PointID % 5 = 1 then -predict_new else predict_new end as v from predictions)
+ group by all"""
+O["odd_day_counts"] = """select PointID as pointid, CategoryID as categoryid,
+ greatest(coalesce(avg(case when predict_new < 0 then 0 else predict_new end), 0), 0) as predicted_sum,
+ cast(coalesce(arg_min(d, VisitDate) filter (where d is not null), 7) as int) as days_until_visit
+ from (select *, case (PointID + day(VisitDate)) % 4 when 0 then -3 when 1 then 2000003 when 2 then null else day(VisitDate) end as d from predictions)
+ group by all"""
+O["rules_without_brands"] = "select cast(0 as bigint) as recommended"
+O["slice_with_other_days"] = f"""select *, case when {_NOT_31} then 'a' else 'b' end as model from predictions
+ union all select *, 'b' as model from predictions where VisitDate = date '1998-03-30' and PointID % 7 = 0"""
+O["evolved_then_recreate"] = """select *, case when VisitDate = date '1998-03-29' then null else cast(0.5 as double) end as Prediction_Confidence
+ from predictions where VisitDate between date '1998-03-29' and date '1998-03-31'"""
 O["append_roundtrip"] = "select VisitDate, PointID, CategoryID, predict_new, timestamp '1998-04-01 12:00:00' as ExportedAt, cast(2 as bigint) as ids from predictions"
 O["append_predictions_roundtrip"] = "select *, timestamp '1998-04-01 12:00:00' as CreatedAt, 'catboost_v1' as ModelVersion from predictions"
 O["schema_evolution_roundtrip"] = f"select *, case when {_NOT_31} then null else cast(0.5 as double) end as Prediction_Confidence from predictions"

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfcast.functions.columns import lower_columns
 from shelfcast.operators import calendar, classes, facts, history_v1, history_v2, learning, recommend as rec, statistics as stats
 from shelfcast.plans import jobs
-from shelfcast.schemas import RECOMMENDATIONS, RECOMMENDATIONS_ADDED
+from shelfcast.schemas import RECOMMENDATIONS, RECOMMENDATIONS_ADDED, RULE_SYNONYMS
 from shelfcast.session import materialize, scratch_path
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored, testdata as td
@@ -244,6 +244,34 @@ def pair_forecast(spark, sf):
     return pairs(spark, sf)
 
 
+@query
+def forecasts_with_nulls(spark, sf):
+    """Unknown forecasts count neither as zero nor as a row of the mean; pairs without any count as zero."""
+    odd = F.when((F.col("PointID") + F.dayofmonth("VisitDate")) % 3 == 0, F.lit(None).cast("double")).when(
+        F.col("PointID") % 5 == 1, -F.col("predict_new")).otherwise(F.col("predict_new"))
+    return rec.pair_forecast(rec.clean_forecasts(stored.load_predictions(predictions(spark, sf).withColumn("predict_new", odd))))
+
+
+@query
+def odd_day_counts(spark, sf):
+    """Negative, very large and unknown days to the next visit; the earliest known one of the pair counts."""
+    kind = (F.col("PointID") + F.dayofmonth("VisitDate")) % 4
+    odd = F.when(kind == 0, -3).when(kind == 1, 2_000_003).when(kind == 2, F.lit(None).cast("int")).otherwise(F.dayofmonth("VisitDate"))
+    return rec.pair_forecast(rec.clean_forecasts(stored.load_predictions(predictions(spark, sf).withColumn("DaysNextVisit", odd.cast("int")))))
+
+
+def _nameless(rules: DataFrame) -> DataFrame:
+    names = {"brand", *RULE_SYNONYMS["brand"]}
+    return rules.drop(*[c for c in rules.columns if c.lower() in names])
+
+
+@query
+def rules_without_brands(spark, sf):
+    """Rules that name no brand recommend nothing."""
+    return rec.recommend(forecasts(spark, sf), _nameless(td.brand_rules(spark, sf)), brand_history(spark, sf), REF).agg(
+        F.count(F.lit(1)).alias("recommended"))
+
+
 @query
 def clipped_forecasts(spark, sf):
     return stored.clipped_count(predictions(spark, sf))
@@ -410,7 +438,7 @@ def forecast_tweedie(spark, sf):
 
 @query
 def forecast_ensemble(spark, sf):
-    return jobs.train_ensemble_and_score(daily(spark, sf), FIRST, LAST, LAST, iterations=3, max_depth=5).select(
+    return jobs.train_ensemble_and_score(daily(spark, sf), FIRST, LAST, LAST).select(
         *KEYS, "predict_new", "Prediction_Confidence")
 
 
@@ -450,6 +478,31 @@ def replace_slice_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def slice_with_other_days(spark, sf):
+    """A frame for one day that also holds rows of another: the day is replaced, the other day keeps its rows and gains these."""
+    path = scratch_path(spark, "mixed-slice")
+    day, other = dt.date(1998, 3, 31), dt.date(1998, 3, 30)
+    rows = materialize(_march(spark, sf), "predictions")
+    sink.replace_slice(rows, path, None)
+    mixed = rows.where((F.col("VisitDate") == F.lit(day)) | ((F.col("VisitDate") == F.lit(other)) & (F.col("PointID") % 7 == 0)))
+    sink.replace_slice(mixed.withColumn("model", F.lit("b")), path, day)
+    return spark.read.parquet(path)
+
+
+@query
+def evolved_then_recreate(spark, sf):
+    """A column came with a later day; a frame with exactly the table's columns is no mismatch and loses no day."""
+    path = scratch_path(spark, "evolved")
+    days = [dt.date(1998, 3, 29), dt.date(1998, 3, 30), dt.date(1998, 3, 31)]
+    rows = materialize(predictions(spark, sf), "predictions")
+    sink.replace_slice(rows.where(F.col("VisitDate") == F.lit(days[0])), path, days[0])
+    wider = rows.withColumn("Prediction_Confidence", F.lit(0.5))
+    sink.replace_slice(wider.where(F.col("VisitDate") == F.lit(days[1])), path, days[1])
+    sink.replace_slice(wider.where(F.col("VisitDate") == F.lit(days[2])), path, days[2], recreate_on_mismatch=True)
+    return sink.read_table(spark, path)
+
+
 @query
 def append_roundtrip(spark, sf):
     """Two appends; identifiers differ from row to row."""

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcast.session import materialize
+from shelfcast.session import broadcast_if_small, materialize
 
 # Row count up to which all values of the input may share one aggregation buffer.
 BUFFERED_ROWS = 2_000_000
@@ -23,13 +23,13 @@ _INF = float("inf")
 def attach(df: DataFrame, small: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Add the columns of ``small`` to ``df`` as the struct ``name``.
 
-    ``small`` has one row per ``by`` group and is joined on it (Spark picks the
-    join by measured size); without ``by`` it is a single row and becomes a
+    ``small`` has one row per ``by`` group and is joined on it (by broadcast
+    while its counted rows are few); without ``by`` it is a single row and becomes a
     scalar subquery.
     """
     packed = F.struct(*[c for c in small.columns if c not in by]).alias(name)
     if by:
-        return df.join(small.select(*by, packed), list(by))
+        return df.join(broadcast_if_small(small.select(*by, packed)), list(by))
     return df.withColumn(name, small.select(packed).scalar())
 
 
@@ -78,6 +78,13 @@ def _buffered(rows: DataFrame, by: list[str], probs: Sequence[float] | None, par
     )
 
 
+def _between(a: str, z: str, t: str) -> Column:
+    """Interpolation as the built-in percentile does it, term by term, so that both roads give equal bits."""
+    low, high, at = F.col(f"{t}.first"), F.col(f"{t}.last"), F.col(f"{t}.position")
+    mixed = (high - at) * F.col(a) + (at - low) * F.col(z)
+    return F.when((low == high) | (F.col(a) == F.col(z)), F.col(a)).otherwise(mixed)
+
+
 def _bracketed(
     rows: DataFrame, by: list[str], probs: Sequence[float] | None, parts: int | None, accuracy: int
 ) -> DataFrame:
@@ -131,7 +138,7 @@ def _bracketed(
             F.when(holds, F.col(f"lo{i}")).otherwise(F.lit(-_INF)).alias("lo"),
             F.when(holds, F.col(f"hi{i}")).otherwise(F.lit(_INF)).alias("hi"),
             F.when(holds, F.col(f"c.below{i}")).otherwise(F.lit(0)).alias("below"),
-            first.alias("first"), last.alias("last"), (position - first).alias("part"),
+            first.alias("first"), last.alias("last"), position.alias("position"),
         )
 
     targets = attach(brackets, counted, by, "c").select(
@@ -150,6 +157,6 @@ def _bracketed(
             F.min(F.when(F.col("upto") > F.col("t.first"), F.col("v"))).alias("a"),
             F.min(F.when(F.col("upto") > F.col("t.last"), F.col("v"))).alias("z"),
         )
-        .select(*by, F.struct(F.col("t.i").alias("i"), (F.col("a") + (F.col("z") - F.col("a")) * F.col("t.part")).alias("e")).alias("e"))
+        .select(*by, F.struct(F.col("t.i").alias("i"), _between("a", "z", "t").alias("e")).alias("e"))
     )
     return edges.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["e"]).alias("edges"))

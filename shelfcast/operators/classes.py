@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.quantiles import attach, exact_quantiles
+from shelfcast.session import broadcast_if_small
 
 PARTS = 10
 _DIGITS = 6  # both values and edges are compared after rounding to this many places
@@ -23,7 +24,7 @@ def pair_sales_value(sales: DataFrame, rules: DataFrame | None) -> DataFrame:
     if rules is None or "avgprice" not in rules.columns:
         valued = quantity.withColumn("value", F.col("amount"))
     else:
-        prices = rules.select("categoryid", "brand", "avgprice")
+        prices = broadcast_if_small(rules.select("categoryid", "brand", "avgprice"))
         valued = quantity.join(prices, ["categoryid", "brand"], "left").withColumn(
             "value", F.col("amount") * F.coalesce("avgprice", F.lit(0.0))
         )

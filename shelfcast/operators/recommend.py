@@ -19,12 +19,16 @@ from pyspark.sql import types as T
 from shelfcast.functions.columns import finite_or_null, first_present, iso_weekday, lower_columns, rename_synonyms, truthy
 from shelfcast.operators import classes
 from shelfcast.schemas import FORECAST_SYNONYMS, FORECAST_VALUE_NAMES, RULE_SYNONYMS, SALES_SYNONYMS
-from shelfcast.session import materialize
+from shelfcast.session import broadcast_if_small, materialize
 
 DEFAULT_DAYS = 7
 TOP_SHARE = 0.8
 TURBO_BONUS, LOCAL_BONUS = 5, 2
 MANDATORY_PRIORITY = 9
+# Columns of the rules when there are none to apply.
+EMPTY_RULES = {
+    "categoryid": "int", "brand": "int", "brandquantum": "int", "priorityweight": "int", "avgprice": "double", "isturbobrand": "int",
+}
 # Brands of one category up to which a pair's candidates are filled as an array.
 ARRAY_BRANDS = 500
 
@@ -35,8 +39,10 @@ ARRAY_BRANDS = 500
 def clean_rules(rules: DataFrame) -> DataFrame:
     """Canonical names, typed defaults and a numeric turbo flag; no rows without a brand column."""
     df = rename_synonyms(lower_columns(rules), RULE_SYNONYMS)
-    if "brand" not in df.columns:
-        return df.limit(0)
+    if not {"brand", "categoryid"} <= set(df.columns):  # without them a rule says nothing
+        known = {f.name: f.dataType for f in df.schema}
+        return df.limit(0).select(*[
+            (F.col(c) if c in known else F.lit(None)).cast(kind).alias(c) for c, kind in EMPTY_RULES.items()])
     defaults = {"brandquantum": ("int", 1), "priorityweight": ("int", 0), "avgprice": ("double", 0.0)}
     for name, (kind, default) in defaults.items():
         if name in df.columns:
@@ -88,12 +94,12 @@ def pair_forecast(forecasts: DataFrame, default_days: int | None = None, on_date
     df = forecasts.where("pointid is not null and categoryid is not null")
     if on_date is not None:
         df = df.where(F.col("visitdate") == F.lit(on_date))
-    # Date and days share one number, so the earliest days need no sort.
-    code = F.coalesce(F.unix_date("visitdate"), F.lit(0)).cast("long") * 1_000_000 + F.col("days_until_next_visit")
+    known = F.when(F.col("days_until_next_visit").isNotNull(), F.struct(
+        F.coalesce(F.unix_date("visitdate"), F.lit(0)).alias("day"), F.col("days_until_next_visit").alias("days")))
     fallback = default_days or DEFAULT_DAYS
     return df.groupBy("pointid", "categoryid").agg(
         F.greatest(F.coalesce(F.avg(finite_or_null("sumroubles")), F.lit(0.0)), F.lit(0.0)).alias("predicted_sum"),
-        F.coalesce(F.pmod(F.min(code), F.lit(1_000_000)).cast("int"), F.lit(fallback)).alias("days_until_visit"),
+        F.coalesce(F.min(known)["days"], F.lit(fallback)).alias("days_until_visit"),
     )
 
 
@@ -124,28 +130,32 @@ def target_means(sales: DataFrame, weekday: int) -> DataFrame:
 
 def missing_brands(pairs: DataFrame, rules: DataFrame, sales: DataFrame, weekday: int) -> DataFrame:
     """Rule brands without a sale of the pair on the weekday."""
-    wanted = pairs.select("pointid", "categoryid").join(rules.select("categoryid", "brand").distinct(), "categoryid")
+    wanted = pairs.select("pointid", "categoryid").join(broadcast_if_small(rules.select("categoryid", "brand").distinct()), "categoryid")
     sold = sales.where(F.col("dayofweek") == weekday).select("pointid", "categoryid", "brand").distinct()
     return wanted.join(sold, ["pointid", "categoryid", "brand"], "left_anti").select("pointid", "categoryid", "brand")
 
 
 def local_top_brands(sales: DataFrame, weekday: int, share: float = TOP_SHARE) -> DataFrame:
-    """Brands that sell at least ``share`` of the best brand in their grid cell and category."""
+    """Brands that sell at least ``share`` of the best brand in their grid cell and category; none without a cell column."""
+    if "microregionid" not in sales.columns:
+        sales = sales.withColumn("microregionid", F.lit(None).cast("string"))
     sums = (
         sales.where(F.col("dayofweek") == weekday)
         .where("microregionid is not null and categoryid is not null and brand is not null")
         .groupBy("microregionid", "categoryid", "brand").agg(F.coalesce(F.sum("brand_amount"), F.lit(0.0)).alias("sold"))
     )
-    best = sums.groupBy("microregionid", "categoryid").agg(F.max("sold").alias("best")).where("best > 0")
+    # A cell and category holds one row per brand here, so its window stays small.
+    best = F.max("sold").over(Window.partitionBy("microregionid", "categoryid"))
     return (
-        sums.join(best, ["microregionid", "categoryid"])
-        .where(F.col("sold") >= F.col("best") * F.lit(share))
+        sums.withColumn("best", best).where((F.col("best") > 0) & (F.col("sold") >= F.col("best") * F.lit(share)))
         .select("microregionid", "categoryid", "brand", "sold")
     )
 
 
 def point_region(sales: DataFrame) -> DataFrame:
-    """Grid cell of each outlet: the one of its newest sale."""
+    """Grid cell of each outlet: the one of its newest sale; no rows without a cell column."""
+    if "microregionid" not in sales.columns:
+        sales = sales.withColumn("microregionid", F.lit(None).cast("string"))
     seen = sales.where("microregionid is not null").groupBy("pointid", "microregionid").agg(F.max("visitdate").alias("seen"))
     return seen.groupBy("pointid").agg(F.max(F.struct("seen", "microregionid"))["microregionid"].alias("microregionid"))
 
@@ -166,7 +176,8 @@ def pair_plan(
         ruled = rules.select("categoryid", "brand").distinct()
         popular = local_top_brands(sales, weekday).join(ruled, ["categoryid", "brand"], "left_semi").groupBy(
             "microregionid", "categoryid").agg(F.collect_set("brand").alias("popular"))
-        plan = plan.join(popular, ["microregionid", "categoryid"], "left")
+        # Outlets without coordinates share one cell: rows of it must not meet in one task.
+        plan = plan.join(broadcast_if_small(popular), ["microregionid", "categoryid"], "left")
     # The joins on the pair come last: the fan-out to brands and the budget fill
     # then find whole pairs in place and move no brand rows.
     plan = plan.join(gaps.select("pointid", "categoryid", "class_gap"), ["pointid", "categoryid"], "left")
@@ -227,7 +238,8 @@ def comment() -> Column:
 
 def _fanned_out(plan: DataFrame, ruled: DataFrame, sales: DataFrame, weekday: int) -> DataFrame:
     """Every rule brand of every pair with its mean quantity and local popularity."""
-    fanned = plan.join(ruled, "categoryid")
+    # Pairs have few categories, so a shuffle by category would leave most tasks empty.
+    fanned = plan.join(broadcast_if_small(ruled), "categoryid")
     if "means" in plan.columns:
         mean, top = F.try_element_at("means", F.col("brand_id")), F.array_contains("popular", F.col("brand_id"))
     else:

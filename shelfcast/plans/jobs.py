@@ -83,8 +83,8 @@ def train_and_score(
         frame = materialize(frame, "training-frame")
         model = learning.train_tweedie(frame, features, variance_power=params.get("variance_power", 1.4))
         learning.save_model(model, features, f"{path}/model")
+        scored = materialize(learning.predict(model, history_v2.scoring_frame(source, target), features), "scored")
         sink.prepare_slice(spark, f"{path}/predictions", target)
-        scored = learning.predict(model, history_v2.scoring_frame(source, target), features)
         stamped = scored.withColumn("CreatedAt", F.lit(created_at).cast("timestamp")).withColumn(
             "ModelVersion", F.lit(model_version))
         sink.replace_slice(stamped, f"{path}/predictions", target)
@@ -92,7 +92,7 @@ def train_and_score(
 
 
 def train_ensemble_and_score(
-    fact: DataFrame, start, end, target: dt.date, iterations: int = 1000, max_depth: int | None = None, path: str | None = None,
+    fact: DataFrame, start, end, target: dt.date, iterations: int = learning.ROUNDS, path: str | None = None,
     created_at: dt.datetime | None = None, version: str = "catboost_v1", export_path: str | None = None,
 ) -> DataFrame:
     """First generation: outlier filter, ensemble of boosted trees, bounded forecasts with confidence.
@@ -108,8 +108,7 @@ def train_ensemble_and_score(
         sink.append_export(raw, export_path, created_at)
     clean = materialize(learning.training_frame(raw, features=features)[0], "training-frame")
     frame = stats.iqr_filter(clean, learning.TARGET)
-    members = [(min(d, max_depth or d), rate, seed) for d, rate, seed in learning.ENSEMBLE]
-    models = learning.train_ensemble(frame, features, iterations=iterations, members=members)
+    models = learning.train_ensemble(frame, features, iterations=iterations)
     error = learning.predict_ensemble(models, frame, features, "_fitted").agg(
         F.avg(F.abs(F.col(learning.TARGET) - F.col("_fitted"))).alias("mae"), F.avg(learning.TARGET).alias("mean_actual"))
     asked = calendar.add_calendar_v1(history_v2.scoring_frame(source, target).select(

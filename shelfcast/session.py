@@ -16,20 +16,19 @@ _local_scratch: dict[str, tempfile.TemporaryDirectory] = {}
 _scopes: list[list[str]] = []
 
 
-def get_spark(app: str = "shelfcast", master: str | None = None, cpus: int = 8) -> SparkSession:
-    """Session for local runs; on a cluster the submitted configuration wins."""
-    builder = SparkSession.builder.appName(app)
-    if master or cpus:
-        builder = builder.master(master or f"local[{cpus}]")
-    return (
-        builder.config("spark.sql.shuffle.partitions", str(cpus))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
-        .config("spark.ui.enabled", "false")
-        .getOrCreate()
-    )
+def get_spark(app: str = "shelfcast", master: str | None = None, cpus: int | None = None) -> SparkSession:
+    """A session as submitted; ``master`` or ``cpus`` ask for a local one with settings of its own.
+
+    Settings in code beat submitted ones, so without either only the time zone
+    is set, which the results depend on.
+    """
+    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    if master:
+        builder = builder.master(master)
+    if cpus:
+        builder = builder.config("spark.sql.shuffle.partitions", str(cpus)).config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
+        builder = builder if master else builder.master(f"local[{cpus}]")
+    return builder.getOrCreate()
 
 
 def scratch_root(spark: SparkSession) -> str:

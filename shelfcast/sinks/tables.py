@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from shelfcast.functions import files
 from shelfcast.functions.columns import finite_or_null
 from shelfcast.schemas import PREDICTION_COLUMNS_V1, RECOMMENDATIONS
+from shelfcast.session import materialize
 
 READ_ORDER = ["PointID", "CategoryID"]
 
@@ -77,11 +78,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema of a stored table, None when it is absent or has no files yet."""
+    """Columns of all files of a stored table, None when it is absent or has no files yet."""
     if not files.exists(spark, path):
         return None
     try:
-        return spark.read.parquet(path).schema
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
     except AnalysisException:
         return None
 
@@ -125,7 +126,9 @@ def _slice_dir(path: str, day: dt.date) -> str:
 def prepare_slice(spark: SparkSession, path: str, day: dt.date) -> str:
     """Make room for a day's forecasts: says whether the table was absent, dropped or cleaned.
 
-    A table without the forecast column is of an older kind and is dropped.
+    A table none of whose files has the forecast column is of an older kind and
+    is dropped. ``replace_slice`` needs no room made: call this only for a day
+    that shall be empty, or once the new rows are stored elsewhere.
     """
     schema = _stored_schema(spark, path)
     if schema is None:
@@ -138,13 +141,17 @@ def prepare_slice(spark: SparkSession, path: str, day: dt.date) -> str:
 
 
 def replace_slice(df: DataFrame, path: str, day: dt.date | None, recreate_on_mismatch: bool = False) -> None:
-    """Replace one day of a stored table, leaving other days alone; repeating changes nothing.
+    """Replace one day of a stored table, leaving other days alone.
 
     Columns new to the table are added, columns the frame lacks become NULL.
-    With ``recreate_on_mismatch`` a different set of columns instead replaces
-    the whole table. Without a day the rows are appended.
+    With ``recreate_on_mismatch`` a set of columns other than that of all
+    stored files instead replaces the whole table. Rows of other days are
+    appended beside the stored ones, as are all rows without a day; a frame of
+    the day alone can be written again without change. The rows are written
+    aside first, so nothing stored goes before they have been computed.
     """
     spark = df.sparkSession
+    df = materialize(df, "slice")
     rows = _sorted(null_unusable(df))
     schema = _stored_schema(spark, path)
     if schema is not None and set(schema.names) != set(df.columns):
@@ -155,12 +162,15 @@ def replace_slice(df: DataFrame, path: str, day: dt.date | None, recreate_on_mis
     if day is None:
         rows.write.mode("append").partitionBy("VisitDate").parquet(path)
         return
-    seen = Observation()
-    of_day = F.count_if(F.col("VisitDate") == F.lit(day)).alias("rows")
-    (rows.observe(seen, of_day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("VisitDate").parquet(path))
-    if seen.get["rows"] == 0:
+    of_day = F.coalesce(F.col("VisitDate") == F.lit(day), F.lit(False))
+    seen = df.agg(F.count_if(of_day), F.count_if(~of_day)).first()
+    if seen[0]:
+        (rows.where(of_day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("VisitDate").parquet(path))
+    else:
         files.delete(spark, _slice_dir(path, day))
+    if seen[1]:
+        rows.where(~of_day).write.mode("append").partitionBy("VisitDate").parquet(path)
 
 
 def append_predictions(df: DataFrame, path: str, created_at: dt.datetime, model_version: str = "catboost_v1") -> None:

@@ -16,7 +16,8 @@ def load_predictions(
 ) -> DataFrame:
     """Stored forecasts with optional outlet and category, in the recommender's names."""
     df = _narrow(predictions, "PointID", point_id, "CategoryID", category_id)
-    value = F.greatest("predict_new", F.lit(0.0)) if clip else F.col("predict_new")
+    # greatest() would turn an unknown forecast into 0
+    value = F.when(F.col("predict_new") < 0, F.lit(0.0)).otherwise(F.col("predict_new")) if clip else F.col("predict_new")
     return df.select(
         F.col("PointID").alias("pointid"), F.col("CategoryID").alias("categoryid"),
         value.alias("predicted_category_sum"), F.col("DaysNextVisit").alias("days_until_next_visit"),

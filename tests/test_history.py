@@ -57,7 +57,7 @@ def test_v1_hot_days_give_the_same_rows(skewed, monkeypatch):
     want = _sorted(h1.add_history_v1(skewed))
     monkeypatch.setattr(h1, "COPIES_PER_TASK", 4)
     got = _sorted(h1.add_history_v1(skewed, hot_day_rows=5))
-    pd.testing.assert_frame_equal(got, want, check_dtype=False, rtol=1e-9, atol=1e-9)
+    pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
 
 
 def test_v1_daily_windows_agree_with_the_general_road(spark, sf):

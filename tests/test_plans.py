@@ -49,3 +49,18 @@ def test_budget_fill_moves_no_brand_rows(spark, sf):
     plan = _plan(q.QUERIES["greedy_budget"](spark, sf)).splitlines()
     fan_out = next(i for i, line in enumerate(plan) if "BroadcastHashJoin [categoryid" in line)
     assert not any("Exchange" in line for line in plan[:fan_out])
+
+
+@pytest.mark.parametrize("name", ["missing_brands", "recommend_orders", "point_category_class", "time_series_folds"])
+def test_no_shuffle_join_on_few_keys(spark, sf, name):
+    """Without automatic broadcasts, as on tables of real size, small sides are still broadcast by count."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "1")
+    try:
+        plan = _plan(q.QUERIES[name](spark, sf))
+    finally:
+        spark.conf.set(threshold, before)
+    for line in plan.splitlines():
+        found = re.search(r"SortMergeJoin(?:\(skew=true\))? \[([^\]]*)\]", line)
+        assert not found or not {re.sub(r"#.*", "", k.strip()) for k in found[1].split(",")} <= {"categoryid", "microregionid", "VisitDate"}, line

@@ -44,3 +44,14 @@ def test_wrong_brackets_still_give_exact_ranks(spark):
     pdf = _frame(3, 5_000)
     got = exact_quantiles(spark.createDataFrame(pdf), "v", probs=[0.3, 0.7], accuracy=20, buffered_rows=0).first()["edges"]
     np.testing.assert_allclose(got, pdf.v.quantile([0.3, 0.7]).to_numpy(), rtol=1e-12)
+
+
+def test_both_roads_give_equal_bits(spark):
+    pdf = _frame(4, 50_021)
+    pdf["v"] = pdf.v * 1.1
+    df = spark.createDataFrame(pdf)
+    probs = [0.01, 0.1, 0.25, 0.333, 0.5, 0.75, 0.9, 0.99, 0.999]
+    one, two = (exact_quantiles(df, "v", probs=probs, buffered_rows=b).first()["edges"] for b in (2_000_000, 0))
+    assert one == two
+    one, two = ({r["g"]: r["edges"] for r in exact_quantiles(df, "v", by=["g"], parts=10, buffered_rows=b).collect()} for b in (2_000_000, 0))
+    assert one == two

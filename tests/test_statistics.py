@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import math
 
 import numpy as np
@@ -26,7 +27,7 @@ def test_folds_by_time(spark, rows):
     # one day holds over a third of all rows
     day = [D(2024, 1, 5) if rng.random() < 0.4 else D(2024, 1, 1) + dt.timedelta(days=int(rng.integers(0, 20))) for _ in range(rows)]
     df = materialize(spark.createDataFrame([(d, i * 7) for i, d in enumerate(day)], "VisitDate date, PointID long"), "t")
-    order = sorted(((d, (i * 7) % 1024, i * 7) for i, d in enumerate(day)))
+    order = sorted(((d, int(hashlib.md5(str(i * 7).encode()).hexdigest()[:3], 16), i * 7) for i, d in enumerate(day)))
     size = rows // 6
     want = {p: 0 if k < rows - 5 * size else 1 + (k - (rows - 5 * size)) // size for k, (_, _, p) in enumerate(order)}
     got = {r["PointID"]: r["block"] for r in stats.time_series_folds(df, "VisitDate", ["PointID"]).collect()}
