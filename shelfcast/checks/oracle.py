@@ -319,6 +319,12 @@ O["regression_metrics"] = """select CategoryID, count(*) as n, round(avg(abs(Sum
 O["bias_ratio"] = """select round(sum(SumRoubles) / sum(forecast), 9) as bias_ratio, round(abs(sum(SumRoubles) / sum(forecast) - 1), 9) as distance from baseline"""
 _NOT_31 = "VisitDate <> date '1998-03-31'"
 O["replace_slice_roundtrip"] = f"select *, case when {_NOT_31} then 'a' else 'b' end as model from predictions"
+O["forecasts_of_outlet"] = """select PointID as pointid, CategoryID as categoryid,
+ case when predict_new < 0 then 0e0 else predict_new end as predicted_category_sum, DaysNextVisit as days_until_next_visit, VisitDate as visitdate
+ from predictions where PointID = (select min(PointID) from predictions)"""
+O["rules_of_category"] = f"select * from ({O['brand_rules_clean']}) where categoryid = (select max(categoryid) from ({O['brand_rules_clean']}))"
+O["saved_pair"] = """select pointid, categoryid, brand_id as brandid, recommended_qty as recommendedqty, cast(included as int) as included,
+ count(*) over () as written from recs where (pointid, categoryid) = (select (pointid, categoryid) from recs order by pointid, categoryid limit 1)"""
 O["forecasts_with_nulls"] = """select PointID as pointid, CategoryID as categoryid,
  coalesce(avg(case when v < 0 then 0 else v end), 0e0) as predicted_sum, coalesce(arg_min(DaysNextVisit, VisitDate), 7) as days_until_visit
  from (select *, case when (PointID + day(VisitDate)) % 3 = 0 then null when PointID % 5 = 1 then -predict_new else predict_new end as v from predictions)

@@ -244,6 +244,29 @@ def pair_forecast(spark, sf):
     return pairs(spark, sf)
 
 
+@query
+def forecasts_of_outlet(spark, sf):
+    rows = predictions(spark, sf)
+    return stored.load_predictions(rows, point_id=rows.agg(F.min("PointID")).first()[0])
+
+
+@query
+def rules_of_category(spark, sf):
+    ruled = rules(spark, sf)
+    return stored.rules_of(ruled, ruled.agg(F.max("categoryid")).first()[0])
+
+
+@query
+def saved_pair(spark, sf):
+    """Recommendations of one pair are stored, and the number of rows written is told."""
+    path = scratch_path(spark, "one-pair")
+    rows = materialize(recommended(spark, sf), "recommended")
+    point, category = rows.agg(F.min(F.struct("pointid", "categoryid"))).first()[0]
+    written = sink.save_recommendations(rows, path, REF, STAMP, "model_a", point_id=point, category_id=category)
+    back = spark.read.parquet(path).select(*[F.col(c) for c in ("PointId", "CategoryId", "BrandId", "RecommendedQty", "Included")])
+    return lower_columns(back).withColumn("written", F.lit(written).cast("long"))
+
+
 @query
 def forecasts_with_nulls(spark, sf):
     """Unknown forecasts count neither as zero nor as a row of the mean; pairs without any count as zero."""

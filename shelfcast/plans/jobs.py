@@ -75,13 +75,13 @@ def train_and_score(
     fact: DataFrame, start, end, target: dt.date, path: str, params: dict | None = None, model_version: str = "tweedie_v1",
     created_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """Train one Tweedie model, save it, score the target day and replace its slice."""
+    """Train the model that ``params`` describe (by default Tweedie), save it, score the target day and replace its slice."""
     spark, params = fact.sparkSession, params or {}
     with scratch_scope(spark):
         source = materialize(fact, "daily-sales")
         frame, features = learning.training_frame(features_v2(source, start, end), features=learning.model_features())
         frame = materialize(frame, "training-frame")
-        model = learning.train_tweedie(frame, features, variance_power=params.get("variance_power", 1.4))
+        model = learning.train_from_params(frame, features, params)
         learning.save_model(model, features, f"{path}/model")
         scored = materialize(learning.predict(model, history_v2.scoring_frame(source, target), features), "scored")
         sink.prepare_slice(spark, f"{path}/predictions", target)

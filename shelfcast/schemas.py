@@ -58,6 +58,7 @@ PREDICTIONS = T.StructType([
     _field("ModelVersion", T.StringType(), "model that made the row"),
 ])
 
+# fixed values: columns of a stored recommendation, in order
 RECOMMENDATIONS = T.StructType([
     _field("PointId", T.LongType(), "outlet"),
     _field("CategoryId", T.IntegerType(), "goods category"),
@@ -93,6 +94,7 @@ POINT_NAMES = ["outlet_id", "OutletID", "OUTLET_ID", "outletId", "PointID", "poi
 CATEGORY_NAMES = ["category_id", "CategoryID", "CATEGORY_ID", "categoryId", "Category_Id"]
 AMOUNT_NAMES = ["sales_amount", "SalesAmount", "SALES_AMOUNT", "amount", "Amount", "sum", "Sum", "SumRoubles"]
 
+# fixed values: accepted names of the rule columns
 RULE_SYNONYMS = {
     "categoryid": ["category_id", "category"],
     "brand": ["brandid", "brand_id", "groupid", "group_id"],
@@ -103,6 +105,7 @@ RULE_SYNONYMS = {
     "importancelabel": ["importance_label"],
     "brand_name": ["brandname", "attrvaluename"],
 }
+# fixed values: accepted names of the sales columns
 SALES_SYNONYMS = {
     "pointid": ["point_id", "point", "mfid"],
     "categoryid": ["category_id", "category"],
@@ -111,11 +114,13 @@ SALES_SYNONYMS = {
     "visitdate": ["visit_date"],
     "brand": ["brandid", "brand_id"],
 }
+# fixed values: accepted names of the forecast columns
 FORECAST_SYNONYMS = {
     "pointid": ["point_id", "point", "mfid"],
     "categoryid": ["category_id", "category"],
     "days_until_next_visit": ["days_until_visit", "days_until"],
 }
+# fixed values: names of the forecast itself, in order of preference
 FORECAST_VALUE_NAMES = ["predicted_category_sum", "sumroubles", "forecast_amount", "forecast"]
 
 # fixed values: the feature vector of the single model, in order
@@ -127,6 +132,7 @@ FEATURES = [
     "WeekOfYear_sin", "WeekOfYear_cos", "Quarter_sin", "Quarter_cos",
     "DaysLastVisit", "DaysNextVisit", "DaysLastSalesCategory", "LastSalesCategory",
 ]
+# fixed values: the features that are categories
 CATEGORICAL = [
     "PointID", "CategoryID", "DayOfWeek", "Quarter", "Month", "WeekOfYear", "IsFriday", "IsMonday",
     "IsPreHoliday", "IsPostHoliday", "isEndOfMonth", "BranchID", "PointClass", "PointType",

@@ -186,13 +186,13 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def save_params(spark: SparkSession, params: dict, path: str) -> None:
-    """Tuned parameters completed with the fixed ones, as JSON."""
+    """Tuned parameters completed with the fixed ones, as JSON; ``model`` says which kind they were tuned for."""
     # fixed values: defaults and constants of the stored parameter set
     full = {
         "variance_power": params.get("variance_power", 1.4), "iterations": params.get("iterations", 3000),
         "learning_rate": params.get("learning_rate", 0.01), "depth": params.get("depth", 6),
         "random_seed": 42, "grow_policy": "Lossguide", "l2_leaf_reg": 1, "max_leaves": 31,
-    }
+    } | {"model": params.get("model", "tweedie")}
     spark.createDataFrame([(json.dumps(full),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 

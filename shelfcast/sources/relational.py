@@ -8,11 +8,6 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from shelfcast.sources.testdata import SourceTables
 
-# fixed values: tables of the source system
-SOURCE_NAMES = {
-    "items": "DS_ITEMS", "item_attrs": "DS_ObjectsAttributes", "attr_values": "DS_AttributesValues", "faces": "ds_faces",
-    "face_attrs": "ds_facesattributes", "orders": "DS_Orders", "order_items": "DS_Orders_Items",
-}
 BATCH_ROWS = 10_000
 
 
@@ -29,16 +24,16 @@ def read_split(
 
 
 def source_tables(
-    spark: SparkSession, url: str, splits: dict[str, tuple[str, int | dt.date, int | dt.date, int]],
+    spark: SparkSession, url: str, names: dict[str, str], splits: dict[str, tuple[str, int | dt.date, int | dt.date, int]],
     options: dict[str, str] | None = None,
 ) -> SourceTables:
-    """The seven source tables; ``splits`` gives column, bounds and number of parts of each."""
+    """The seven source tables; ``names`` gives the database's name of each, ``splits`` column, bounds and number of parts."""
 
     def load(field: str) -> DataFrame:
-        df = read_split(spark, url, SOURCE_NAMES[field], *splits[field], options=options)
+        df = read_split(spark, url, names[field], *splits[field], options=options)
         return df.toDF(*[c.lower() for c in df.columns])
 
-    return SourceTables(**{field: load(field) for field in SOURCE_NAMES})
+    return SourceTables(**{field: load(field) for field in names})
 
 
 def writer(df: DataFrame, url: str, name: str, mode: str = "append", options: dict[str, str] | None = None) -> DataFrameWriter:

@@ -123,7 +123,7 @@ def test_parameters_round_trip(spark):
     assert stored.load_params(spark, path) is None
     sink.save_params(spark, {"variance_power": 1.2, "depth": 8}, path)
     params = stored.load_params(spark, path)
-    assert params["variance_power"] == 1.2 and params["depth"] == 8 and params["iterations"] == 3000 and params["max_leaves"] == 31
+    assert params["variance_power"] == 1.2 and params["depth"] == 8 and params["iterations"] == 3000 and params["max_leaves"] == 31 and params["model"] == "tweedie"
     cut_short = scratch_path(spark, "t")
     spark.createDataFrame([("{",)], "value string").write.text(cut_short)
     assert stored.load_category_params(spark, cut_short) == {}
