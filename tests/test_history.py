@@ -138,3 +138,15 @@ def test_features_do_not_change_when_later_rows_arrive(spark, sf):
     early = h1.add_history_v1(rows.where(F.col("VisitDate") < F.lit(cut))).select(*names)
     late = h1.add_history_v1(rows).where(F.col("VisitDate") < F.lit(cut)).select(*names)
     pd.testing.assert_frame_equal(_sorted(early), _sorted(late), check_dtype=False, rtol=1e-9, atol=1e-9)
+
+
+def test_equal_amounts_of_a_hot_day_part(spark):
+    """A thousand rows of one amount, or of none, are cut at their other columns."""
+    for amount in (5.0, None):
+        df = spark.createDataFrame([(D(2024, 1, 1), 1, 1, amount, i) for i in range(1000)], "VisitDate date, PointID long, CategoryID int, SumRoubles double, k int")
+        rows = df.withColumn("_n", F.lit(1).cast("long"))
+        cut = h1._cut_hot_days(rows, ["PointID", "CategoryID", "VisitDate"], ["SumRoubles", "k"], 10)
+        sizes = [r["count"] for r in cut.groupBy("_seg").count().collect()]
+        assert len(sizes) > 50 and max(sizes) < 100 and sum(sizes) == 1000
+        want = _sorted(h1.add_history_v1(df))
+        pd.testing.assert_frame_equal(_sorted(h1.add_history_v1(df, hot_day_rows=10)), want, check_dtype=False, check_exact=True)
