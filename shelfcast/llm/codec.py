@@ -21,10 +21,10 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from shelfcast.llm.common import keyed, prepare_python
-from shelfcast.llm.tokencount import KNOWN, SPACE, byte_letters
+from shelfcast.llm.tokencount import KNOWN, SPACE, byte_letters, merges_needed
 
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 # White space next to a blank: there a cut before the blank is not certain.
@@ -39,8 +39,7 @@ class Codec(dict):
             spec = json.load(f)
         model = spec["model"]
         byte = {c: b for b, c in byte_letters().items()}
-        raw = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()}
-        self.ids = raw
+        raw = self.ids = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()}
         merges = [tuple(bytes(byte[c] for c in part) for part in pair) for pair in model["merges"]]
         self.ranks = {pair: i for i, pair in enumerate(merges)}
         self.joined = {t[i:i + 2] for t in raw for i in range(len(t) - 1)}
@@ -113,8 +112,6 @@ def merge(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[byt
 
 def merge_long(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
     """The same for long fragments, with the shared heap."""
-    from shelfcast.llm.tokencount import merges_needed
-
     merges_needed(parts, ranks, b"")
     return [p for p in parts if p]
 

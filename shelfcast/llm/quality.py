@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcast.llm.common import LAST_ID, free_name, hash_of, id_of, keyed, materialize, prepare_python
+from shelfcast.llm.common import free_name, hash_of, id_of, keyed, materialize, prepare_python
 from shelfcast.llm.sharding import boundaries
 
 BUCKETS = 1 << 16
@@ -44,7 +44,6 @@ def ngram_buckets(text: bytes) -> np.ndarray:
 
 def labelled_sample(labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
     """(label_id, good, fits): a bounded sample of labelled rows, half of them to fit and half to calibrate."""
-    # The scan of labels runs once; the hashes decide the sample, so it is the same in every run.
     one = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(
         F.min(F.when(F.coalesce(F.col("toxic"), F.lit(0)) == 0, F.col("quality")).otherwise(0)).alias("good"))
     one = one.withColumn("h", F.xxhash64("label_id")).orderBy("h", "label_id").limit(rows)
@@ -58,12 +57,10 @@ def _counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in batches:
             for text, hit in zip(b.column("text").to_pylist(), b.column("hit").to_pylist()):
-                n = np.bincount(ngram_buckets(text), minlength=BUCKETS) if len(text) > 4 * BUCKETS else ngram_buckets(text)
-                for total in (raw, target) if hit else (raw,):
-                    if len(text) > 4 * BUCKETS:
-                        total += n
-                    else:
-                        np.add.at(total, n, 1)
+                buckets, n = np.unique(ngram_buckets(text), return_counts=True)
+                raw[buckets] += n
+                if hit:
+                    target[buckets] += n
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int64()), pa.array(raw[used], pa.int64()), pa.array(target[used], pa.int64())], ["bucket", "raw", "target"])

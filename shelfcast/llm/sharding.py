@@ -28,6 +28,7 @@ from shelfcast.llm.common import free_name, hash_of, id_of, materialize, prepare
 
 Key = tuple[int, int]
 LOW: Key = (-(2**63), -(2**63))
+TOP: Key = (2**63 - 1, 2**63 - 1)
 PROBES = 33
 
 
@@ -111,7 +112,7 @@ def boundaries(rows: DataFrame, wants: list[int], slack: int, keep: int) -> list
     ``keep`` bytes is cut inside, by the second key.
     """
     total = rows.agg(F.sum("size")).first()[0] or 0
-    open_ = {i: Bracket(want, LOW, 0, _key(2**128 - 1), total) for i, want in enumerate(wants)}
+    open_ = {i: Bracket(want, LOW, 0, TOP, total) for i, want in enumerate(wants)}
     found: dict[int, Key] = {}
     while open_:
         probes = sorted({p for b in open_.values() for p in (*_probes(b), b.low, b.high)})
@@ -124,7 +125,7 @@ def boundaries(rows: DataFrame, wants: list[int], slack: int, keep: int) -> list
         for i, b in list(open_.items()):
             span = next((s for s in spans if s[0] <= b.want < s[1]), None)
             if span is None:  # nothing, or no more, lies below
-                found[i] = _key(2**128 - 1) if b.want else LOW
+                found[i] = TOP if b.want else LOW
             else:
                 lo, hi, first, last = span
                 one = first == last if b.inside else first[0] == last[0]
@@ -150,7 +151,7 @@ def splitters(rows: DataFrame, shards: int, per: int = 1, tolerance: float = 0.0
     outer = boundaries(rows, [total * i // shards for i in range(1, shards)], int(part * tolerance), int(part * keep))
     inner = [i for i in range(1, shards * per) if i % per]
     inner = dict(zip(inner, boundaries(rows, [total * i // (shards * per) for i in inner], int(part / per * 0.05), 0)))
-    ends = [LOW, *outer, _key(2**128 - 1)]
+    ends = [LOW, *outer, TOP]
     cut = []
     for i in range(1, shards * per):
         s = i // per
