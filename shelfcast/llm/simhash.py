@@ -31,7 +31,7 @@ from shelfcast.llm.components import components, spanning
 
 PARTS = [0xFFFF << s for s in (0, 16, 32, 48)]
 KEYS = [a | b for a, b in combinations(PARTS, 2)]
-BUCKET, CHUNK, TEXTS = 64, 2048, 128
+BUCKET, PAIRED, CHUNK, TEXTS = 64, 6, 2048, 128
 SEED = 42
 
 
@@ -116,12 +116,13 @@ def block_masks(blocks: int, agree: int) -> list[int]:
     return [sum(c) for c in combinations(each, agree)]
 
 
-def wide_links(fps: DataFrame, distance: int, blocks: int, agree: int, bucket: int = BUCKET, chunk: int = CHUNK) -> DataFrame:
+def wide_links(fps: DataFrame, distance: int, blocks: int, agree: int, bucket: int = PAIRED, chunk: int = CHUNK) -> DataFrame:
     """(a, b): links that connect the distinct fingerprints ``fps`` (fp) at ``distance`` bits or fewer that agree in ``agree`` blocks.
 
-    Up to ``blocks - agree`` differing bits that is certain. Small buckets are
-    joined with themselves; full ones are cut into chunks, every pair of chunks
-    is compared as a matrix, and a spanning set of its links is returned.
+    Up to ``blocks - agree`` differing bits that is certain. Buckets of a few
+    are joined with themselves; larger ones are cut into chunks, every pair of
+    chunks is compared as a matrix, and its links are returned as stars around
+    least members, so a group of near copies gives few links, not all its pairs.
     """
     prepare_python(fps.sparkSession)
     masks = block_masks(blocks, agree)
@@ -146,8 +147,8 @@ def wide_links(fps: DataFrame, distance: int, blocks: int, agree: int, bucket: i
                 hit = np.bitwise_count(x[:, None].view(np.uint64) ^ y[None].view(np.uint64)) <= distance
                 yield _star(hit, x, y)
 
-    full = pairs.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long")
-    return joined.distinct().union(full)
+    full = pairs.repartition(*group).sortWithinPartitions(*group, "fp").mapInArrow(run, "a long, b long")
+    return joined.union(full).distinct()
 
 
 def _chunk_pairs(rows: DataFrame, by: list[str], member: str, chunk: int) -> DataFrame:
@@ -230,16 +231,15 @@ def near_copies(
     roots = components(wide_links(texts.select("fp").distinct(), distance, blocks, agree))
     grouped = texts.join(roots, F.col("fp") == F.col("node"), "left").select("th", "first", F.coalesce("root", "fp").alias("root"))
     grouped = materialize(grouped, "candidate-groups")
-    sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored, so that the join's own exchanges can be split at a large group.
+    sizes = materialize(grouped.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "group-sizes")
     asked = materialize(grouped.join(sizes, "root"), "candidate-texts")
     whole = keyed(docs).select("id", "th", "text").join(asked.select("th", F.col("first").alias("id"), "root", "n"), ["id", "th"])
     whole = whole.select("root", "n", "th", "text")
-    links = materialize(verified_links(whole, least, words), "verified-links")
-    found = components(links)
+    found = components(verified_links(whole, least, words))
     named = texts.join(found, F.col("th") == F.col("node"), "left").select("th", "first", F.coalesce("root", "th").alias("root"))
-    named = materialize(named, "text-groups")
-    best = named.groupBy("root").agg(F.min(F.struct("first", "th")).alias("best")).select(F.col("best.first").alias("id"), F.col("best.th").alias("th"))
-    return best
+    best = named.groupBy("root").agg(F.min(F.struct("first", "th")).alias("best"))
+    return best.select(F.col("best.first").alias("id"), F.col("best.th").alias("th"))
 
 
 def drop_near_duplicates(docs: DataFrame, least: float = 0.8, words: int = 5) -> DataFrame:
