@@ -25,6 +25,7 @@ no rows.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,9 +34,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
+from tokenizers import Tokenizer
 
 from shelfcast.llm.common import keyed, materialize, prepare_python
-from shelfcast.llm.tokencount import EXTRA, KNOWN, SPLIT
+from shelfcast.llm.tokencount import Pieces
 
 CAPACITY, END = 4096, 1
 ROUNDS, EPS, STEP = 60, 0.1, 1.0
@@ -47,27 +49,21 @@ Config = tuple[tuple[int, int], ...]  # (length, copies), longest first
 # --- ids ----------------------------------------------------------------------------------
 
 
-class PieceIds(dict):
-    """Ids (little-endian, four bytes each) of a piece of text without white space, by piece.
-
-    For tokenizers that drop white space and let no word span it: the ids of a
-    text are those of its pieces, one after another.
-    """
+class PieceIds(Pieces):
+    """Ids, little-endian and four bytes each; the library encodes every word that is not known yet."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
+        super().__init__(path)
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KNOWN:
-            self.clear()
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        found = self[piece] = np.array(ids, "<u4").tobytes()
-        return found
+    def make(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def make_special(self, text: str) -> bytes:
+        return self.special[text].to_bytes(4, "little")
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, SPLIT.split(text) if EXTRA.search(text) else text.split()))
+    def total(self, parts) -> bytes:
+        return b"".join(parts)
 
 
 @lru_cache(1)
@@ -85,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         for b in batches:
             out: list[tuple] = []
             for doc_id, th, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "text"))):
-                ids = encoder.encode(text) + tail
+                ids = encoder.text(text) + tail
                 for at in range(0, len(ids), 4 * capacity):
                     cut = ids[at:at + 4 * capacity]
                     n = len(cut) // 4

@@ -66,50 +66,90 @@ def merges_needed(symbols: list, ranks: dict, gone: str | bytes = "") -> int:
     return merged
 
 
-class WordCounts(dict):
-    """Tokens of a piece of text without white space, by piece."""
+class Pieces(dict):
+    """What a tokenizer that drops white space makes of the pieces of a text between it, by piece.
+
+    Pieces and words repeat, so both are kept, in bounded tables: a full one
+    becomes the old one, from which what still occurs is taken over. A subclass
+    says what a word and a special string give, and how the words of a piece add up.
+    """
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model = spec["model"]
-        self.suffix = model["end_of_word_suffix"] or ""
-        self.ranks = {(a, b): i for i, (a, b) in enumerate(model["merges"])}
-        self.letters = byte_letters()
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+            self.spec = json.load(f)
+        pattern = self.spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}"))
-        special = [t["content"] for t in spec["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))))
-        self.by_word: dict[str, int] = {}
+        self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+        self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.by_word: dict = {}
+        self.old, self.old_words = {}, {}
+
+    def make(self, word: str):
+        raise NotImplementedError
+
+    def make_special(self, text: str):
+        raise NotImplementedError
 
-    def word(self, word: str) -> int:
+    def total(self, parts):
+        raise NotImplementedError
+
+    def word(self, word: str):
         found = self.by_word.get(word)
         if found is None:
             if len(self.by_word) >= KNOWN:
-                self.by_word.clear()
-            symbols = [self.letters[b] for b in word.encode()]
-            symbols[-1] += self.suffix
-            found = self.by_word[word] = len(symbols) - merges_needed(symbols, self.ranks)
+                self.by_word, self.old_words = {}, self.by_word
+            found = self.old_words.get(word)
+            self.by_word[word] = found = self.make(word) if found is None else found
         return found
 
-    def __missing__(self, piece: str) -> int:
-        n = 0
-        parts = [piece]
-        if "<|" in piece:
-            parts = self.special.split(piece)
-            n = len(parts) - 1  # each special string is one token
-        for part in parts:
-            part = unicodedata.normalize("NFC", part)
-            part = "".join(c.lower() for c in part) if "Σ" in part else part.lower()
-            n += sum(map(self.word, self.words.findall(part)))
+    def plain(self, piece: str):
+        if piece.isascii():  # letters, perhaps with one mark behind them, need no search
+            if piece.isalpha():
+                return self.word(piece.lower())
+            if piece[:-1].isalpha() and not piece[-1].isdigit():
+                return self.total((self.word(piece[:-1].lower()), self.word(piece[-1])))
+        piece = unicodedata.normalize("NFC", piece)
+        piece = "".join(c.lower() for c in piece) if "Σ" in piece else piece.lower()
+        return self.total(map(self.word, self.words.findall(piece)))
+
+    def __missing__(self, piece: str):
         if len(self) >= KNOWN:
+            self.old = dict(self)
             self.clear()
-        self[piece] = n
-        return n
+        found = self.old.get(piece)
+        if found is not None:
+            pass
+        elif "<|" in piece:
+            found = self.total(self.make_special(p) if p in self.special else self.plain(p) for p in self.specials.split(piece))
+        else:
+            found = self.plain(piece)
+        self[piece] = found
+        return found
 
-    def count(self, text: str) -> int:
+    def text(self, text: str):
         pieces = SPLIT.split(text) if EXTRA.search(text) else text.split()
-        return sum(map(self.__getitem__, pieces))
+        return self.total(map(self.__getitem__, pieces))
+
+
+class WordCounts(Pieces):
+    """Number of tokens."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.suffix = self.spec["model"]["end_of_word_suffix"] or ""
+        self.ranks = {(a, b): i for i, (a, b) in enumerate(self.spec["model"]["merges"])}
+        self.letters = byte_letters()
+
+    def make(self, word: str) -> int:
+        symbols = [self.letters[b] for b in word.encode()]
+        symbols[-1] += self.suffix
+        return len(symbols) - merges_needed(symbols, self.ranks)
+
+    def make_special(self, text: str) -> int:
+        return 1
+
+    def total(self, parts) -> int:
+        return sum(parts)
 
 
 @lru_cache(1)
@@ -124,7 +164,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = word_counts(tokenizer)
         for b in batches:
-            n = pa.array([counts.count(t) for t in b.column("text").to_pylist()], pa.int64())
+            n = pa.array([counts.text(t) for t in b.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_bytes"), n], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = keyed(docs).select("doc_id", "text", F.octet_length("text").cast("long").alias("n_bytes"))
