@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcast.llm.common import keyed, materialize
+from shelfcast.llm.common import LAST_ID, keyed, materialize
 
 WORDS, K = 5, 128
 SPAN = 2.0**64
@@ -96,16 +96,16 @@ def edited_pairs(docs: DataFrame, words: int = WORDS, k: int = K, share: int = 4
 
     (doc_id, n_chars, text, edited, fingerprint, next_fingerprint). Texts are
     exchanged once, by id; the next document sends the prefix that is needed
-    and its fingerprint. Of rows with one id, the one of least text hash is the
-    next document of the id before.
+    and its fingerprint. Of rows with one id, the one of least text is the next
+    document of the id before. Both sides read the same exchange of (id, text).
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = keyed(docs).repartition(parts, "id")
+    rows = keyed(docs).select("id", "text").repartition(parts, "id")
     lengths = keyed(docs).groupBy("id").agg(F.max(F.length("text")).alias("n_chars"))
     order = materialize(successors(materialize(lengths, "lengths")), "successors")
     before = order.select(
         F.col("id").alias("for_id"), F.floor(F.col("n_chars") / share).cast("int").alias("need"), F.col("next_id").alias("id"))
-    first = rows.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("th"))).where("r = 1")
+    first = rows.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("text"))).where("r = 1")
     sent = first.join(before, "id").select(
         F.col("for_id").alias("id"), F.substring("text", F.lit(1), F.col("need")).alias("prefix"),
         fingerprint(F.col("text"), words, k).alias("next_fingerprint"))
@@ -113,5 +113,5 @@ def edited_pairs(docs: DataFrame, words: int = WORDS, k: int = K, share: int = 4
     cut = F.floor(n / share).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("prefix", F.lit(1), cut))
     return rows.join(sent, "id").select(
-        "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"),
+        F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), n.cast("long").alias("n_chars"), "text", edited.alias("edited"),
         fingerprint(F.col("text"), words, k).alias("fingerprint"), "next_fingerprint")
