@@ -4,7 +4,7 @@ A pair of bytes that never stands inside a token of the vocabulary can never be
 merged across, so the text is certainly cut there. Fragments between such cuts
 (and between the words of the tokenizer's pattern) are encoded on their own
 and their ids concatenated. Fragments repeat, so a task keeps those it has seen
-in a bounded table (it is emptied when full).
+in a bounded table (a full one becomes the old one, from which what still occurs is taken over).
 
 Results: a NULL or empty text has no ids and decodes to the empty text. Texts
 are encoded whole. A NULL doc_id and repeated rows pass through. An empty
@@ -48,6 +48,7 @@ class Codec(dict):
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
         self.words = regex.compile(WORDS)
         self.fragments: dict[bytes, bytes] = {}
+        self.old, self.old_fragments = {}, {}
         self.texts = {i: t for t, i in raw.items()} | {i: k.encode() for k, i in special.items()}
 
     def cuts(self, word: bytes) -> list[bytes]:
@@ -59,9 +60,12 @@ class Codec(dict):
         found = self.fragments.get(piece)
         if found is None:
             if len(self.fragments) >= KNOWN:
-                self.fragments.clear()
-            parts = merge([piece[i:i + 1] for i in range(len(piece))], self.ranks)
-            found = self.fragments[piece] = array("I", [self.ids[p] for p in parts]).tobytes()
+                self.fragments, self.old_fragments = {}, self.fragments
+            found = self.old_fragments.get(piece)
+            if found is None:
+                parts = merge([piece[i:i + 1] for i in range(len(piece))], self.ranks)
+                found = array("I", [self.ids[p] for p in parts]).tobytes()
+            self.fragments[piece] = found
         return found
 
     def run(self, text: str) -> bytes:
@@ -70,8 +74,10 @@ class Codec(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= KNOWN:
+            self.old = dict(self)
             self.clear()
-        found = self[piece] = self.run(" " + piece)
+        found = self.old.get(piece)
+        found = self[piece] = self.run(" " + piece) if found is None else found
         return found
 
     def plain(self, text: str) -> bytes:
