@@ -33,6 +33,10 @@ PARTS = [0xFFFF << s for s in (0, 16, 32, 48)]
 KEYS = [a | b for a, b in combinations(PARTS, 2)]
 BUCKET, PAIRED, CHUNK, TEXTS = 64, 6, 2048, 128
 SEED = 42
+# Bands of least shingle hashes: texts of a Jaccard similarity j agree in none of them with a chance of (1 - j**DEPTH)**BANDS,
+# which is 5e-8 at 0.8, whatever the length of the texts and wherever they differ.
+BANDS, DEPTH = 32, 4
+_FLIPS, _ODD = (np.array([xxhash.xxh64_intdigest(f"{n} {i}", SEED) | 1 for i in range(BANDS * DEPTH)], "<u8") for n in ("flip", "odd"))
 
 
 def _signed(v: int) -> int:
@@ -50,7 +54,10 @@ def simhash(text: bytes, words: int = 3, distinct: bool = False) -> int:
         shingles = list(map(b" ".join, zip(*[parts[i:] for i in range(words)])))
     if distinct:
         shingles = set(shingles)
-    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8")
+    return _majority(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8"))
+
+
+def _majority(hashes: np.ndarray) -> int:
     bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -71,6 +78,52 @@ def fingerprints(docs: DataFrame, words: int = 3, distinct: bool = False) -> Dat
     return rows.mapInArrow(run, "id long, th long, doc_id long, fp long")
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint_and_bands(text: bytes, words: int) -> tuple[int, np.ndarray]:
+    """``simhash(text, 1, distinct=True)``, and the band keys of the shingles of ``words`` words (none without a word)."""
+    parts = text.lower().split()
+    if not parts:
+        return 0, np.zeros(0, np.int64)
+    known = {p: xxhash.xxh64_intdigest(p, SEED) for p in set(parts)}
+    each = np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts))
+    size = min(words, len(parts))
+    shingles = _mixed(sum(each[i:len(each) - size + 1 + i] * _ODD[i] for i in range(size)))
+    least = np.full(BANDS * DEPTH, np.uint64(2**64 - 1))
+    for at in range(0, len(shingles), 1 << 12):
+        np.minimum(least, ((shingles[at:at + (1 << 12), None] ^ _FLIPS) * _ODD).min(0), out=least)
+    bands = (_mixed(least).reshape(BANDS, DEPTH) * _ODD[:DEPTH]).sum(1, dtype=np.uint64) + _FLIPS[:BANDS]
+    return _majority(np.fromiter(known.values(), np.uint64, len(known))), _mixed(bands).view(np.int64)
+
+
+def word_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(id, th, fp, bands) of every document: the fingerprint of its distinct words and the band keys of its shingles."""
+    prepare_python(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [fingerprint_and_bands(t, words) for t in b.column("text").to_pylist()]
+            ends = np.cumsum([0, *(len(k) for _, k in found)], dtype=np.int32)
+            keys = np.concatenate([np.zeros(0, np.int64), *(k for _, k in found)])
+            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))
+            fps = pa.array([f for f, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), fps, bands], ["id", "th", "fp", "bands"])
+
+    rows = keyed(docs).select("id", "th", F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "id long, th long, fp long, bands array<long>")
+
+
+def band_links(rows: DataFrame) -> DataFrame:
+    """(a, b): links that connect the fingerprints of ``rows`` (fp, bands) whose texts share a band key: stars around the least."""
+    keys = rows.select("fp", F.explode("bands").alias("key"))
+    least = F.min("fp").over(Window.partitionBy("key"))
+    return keys.select(least.alias("a"), F.col("fp").alias("b")).where("a <> b").distinct()
+
+
 def links(fps: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFrame:
     """(a, b): links of distinct fingerprints ``fps`` (fp) that connect all pairs at ``distance`` bits or fewer, and no others."""
     if distance not in (0, 1, 2):
@@ -223,12 +276,15 @@ def near_copies(
     """(id, th) of the documents to keep: one of each group of near copies, by SimHash candidates and an exact check.
 
     Candidates are fingerprints of the distinct words, which change little with
-    a small edit; texts that candidates connect are then compared by the
-    Jaccard similarity of their shingles of ``words`` words. Equal texts are one.
+    a small edit, and texts that share a band of least shingle hashes, which
+    finds what the blocks miss (cut or appended text, short texts); texts that
+    candidates connect are then compared by the Jaccard similarity of their
+    shingles of ``words`` words. Equal texts are one.
     """
-    rows = materialize(fingerprints(docs, 1, distinct=True), "word-fingerprints")
+    rows = materialize(word_fingerprints(docs, words), "word-fingerprints")
     texts = materialize(rows.groupBy("th").agg(F.min("fp").alias("fp"), F.min("id").alias("first")), "distinct-texts")
-    roots = components(wide_links(texts.select("fp").distinct(), distance, blocks, agree))
+    close = wide_links(texts.select("fp").distinct(), distance, blocks, agree)
+    roots = components(close.union(band_links(rows)))
     grouped = texts.join(roots, F.col("fp") == F.col("node"), "left").select("th", "first", F.coalesce("root", "fp").alias("root"))
     grouped = materialize(grouped, "candidate-groups")
     # Stored, so that the join's own exchanges can be split at a large group.

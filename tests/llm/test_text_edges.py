@@ -2,6 +2,7 @@
 
 import random
 import struct
+from collections import Counter
 
 import brute
 import numpy as np
@@ -195,6 +196,42 @@ def test_pipeline_near_copies(spark):
     assert len(kept - first) <= 0.1 * (len(docs) - len(first))
 
 
+def test_pipeline_meets_cut_appended_and_short_copies(spark):
+    """Planted copies at a similarity of 0.8 or more, cut or appended at their end or edited in one block: none is kept."""
+    texts = [r["text"].split() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r["text"]]
+    texts = [w for w in texts if len(w) >= 8]
+    shorter = [w[:8 + i % 43] for i, w in enumerate(texts[:300])]
+    rng, rows, planted = random.Random(5), [], Counter()
+    for i, w in enumerate([*texts, *shorter]):
+        n = len(w) - 4
+        one = [f"new{i}x{j}" for j in range(n // 4)]
+        at = rng.randrange(1, max(2, len(w) - n // 12 - 1))
+        copies = {"cut": w[:len(w) - n // 6], "appended": w + one[:n // 5], "edited": w[:at] + one[:max(1, n // 14)] + w[at + max(1, n // 14):]}
+        source = brute.shingle_set(" ".join(w))
+        rows.append((i, " ".join(w)))
+        for k, (kind, copy) in enumerate(copies.items(), 1):
+            other = brute.shingle_set(" ".join(copy))
+            if copy != w and len(source & other) >= 0.8 * len(source | other):
+                planted[kind, len(w) > 50] += 1
+                rows.append((i + 1_000_000 * k, " ".join(copy)))
+    assert len(planted) == 6 and min(planted.values()) > 5
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert kept.where("doc_id >= 1000000").count() == 0
+
+
+def test_band_keys_are_even():
+    """Single least hashes agree as often as the similarity says; equal texts share all keys, the fingerprint is the plain one."""
+    words = [f"w{i}" for i in range(1000)]
+    first = " ".join(words).encode()
+    fp, keys = simhash.fingerprint_and_bands(first, 1)
+    assert fp == simhash.simhash(first, 1, distinct=True) and len(set(keys)) == simhash.BANDS
+    assert (simhash.fingerprint_and_bands(first.upper() + b" w3", 1)[1] == keys).all()
+    hits = [
+        (simhash.fingerprint_and_bands(" ".join(f"{i}-{w}" for w in words[:900]).encode(), 1)[1]
+         == simhash.fingerprint_and_bands(" ".join(f"{i}-{w}" for w in words[100:]).encode(), 1)[1]).mean() for i in range(60)]
+    assert abs(np.mean(hits) - 0.8**simhash.DEPTH) < 0.04
+
+
 def test_histogram_sort_cuts_only_large_groups(spark):
     rows = [(i, f"text {i}" * (1 + i % 7)) for i in range(2000)] + [(5000 + i, "a copy that many rows share") for i in range(900)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
