@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.operators import calendar, history_v1, history_v2, learning, recommend as rec, statistics as stats
 from shelfcast.session import materialize, scratch_scope
@@ -97,6 +97,7 @@ def train_ensemble_and_score(
 ) -> DataFrame:
     """First generation: outlier filter, ensemble of boosted trees, bounded forecasts with confidence.
 
+    ``iterations`` bounds the rounds; the later days end them early.
     With a path the scored rows are also appended there, with an export path
     the training features.
     """
@@ -107,8 +108,8 @@ def train_ensemble_and_score(
     if export_path is not None:
         sink.append_export(raw, export_path, created_at)
     clean = materialize(learning.training_frame(raw, features=features)[0], "training-frame")
-    frame = stats.iqr_filter(clean, learning.TARGET)
-    models = learning.train_ensemble(frame, features, iterations=iterations)
+    frame = materialize(stats.iqr_filter(clean, learning.TARGET), "training-frame")
+    models = learning.train_ensemble(frame, features, iterations=iterations, late=late_days(frame))
     error = learning.predict_ensemble(models, frame, features, "_fitted").agg(
         F.avg(F.abs(F.col(learning.TARGET) - F.col("_fitted"))).alias("mae"), F.avg(learning.TARGET).alias("mean_actual"))
     asked = calendar.add_calendar_v1(history_v2.scoring_frame(source, target).select(
@@ -145,8 +146,8 @@ def score_by_category(
     return scored.select("VisitDate", "PointID", "CategoryID", "predict_advanced")
 
 
-def split_by_date(frame: DataFrame, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Earlier days to train on, later days to check: cut where the share of rows is reached."""
+def late_days(frame: DataFrame, share: float = 0.8) -> Column:
+    """Condition for the later days: those from where the share of rows is reached."""
     days = frame.groupBy("VisitDate").agg(F.count(F.lit(1)).alias("n"))
     # one row per calendar day, so a window without partitions stays small
     before = Window.orderBy("VisitDate").rowsBetween(Window.unboundedPreceding, -1)
@@ -154,8 +155,13 @@ def split_by_date(frame: DataFrame, share: float = 0.8) -> tuple[DataFrame, Data
     late = F.coalesce(F.sum("n").over(before), F.lit(0)) >= total * F.lit(share)
     first_late, last = days.withColumn("late", late).agg(
         F.min(F.when(F.col("late"), F.col("VisitDate"))), F.max("VisitDate")).first()
-    cut = F.lit(first_late or last)
-    return frame.where(F.col("VisitDate") < cut), frame.where(F.col("VisitDate") >= cut)
+    return F.col("VisitDate") >= F.lit(first_late or last)
+
+
+def split_by_date(frame: DataFrame, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Earlier days to train on, later days to check: cut where the share of rows is reached."""
+    late = late_days(frame, share)
+    return frame.where(~late), frame.where(late)
 
 
 def tune_parameters(
