@@ -167,8 +167,8 @@ def split_by_date(frame: DataFrame, share: float = 0.8) -> tuple[DataFrame, Data
 def tune_parameters(
     fact: DataFrame, start, end, path: str, grid: dict | None = None, trials: int = 50
 ) -> tuple[dict, DataFrame]:
-    """Search the grid on a later slice of days and save the best parameters."""
-    grid = grid or {"variance_power": learning.TUNING_GRID["variance_power"]}
+    """Search the grid (by default the whole published one) on a later slice of days and save the best parameters."""
+    grid = grid or learning.TUNING_GRID
     with scratch_scope(fact.sparkSession):
         frame, features = learning.training_frame(features_v2(fact, start, end), features=learning.model_features())
         train, holdout = split_by_date(materialize(frame, "training-frame"))
