@@ -177,24 +177,35 @@ def tune_parameters(
     return best, results
 
 
-def compare_validation(fact: DataFrame, start, end, iterations: int | None = None) -> DataFrame:
+def compare_validation(fact: DataFrame, start, end, iterations: int = learning.ROUNDS, model: str = "boosted") -> DataFrame:
     """Cross-validation by time and by shuffled folds, side by side.
 
-    ``iterations`` chooses boosted trees of that many rounds; without it the
-    Tweedie model is validated.
+    Validated is the boosted model of ``train_ensemble_and_score`` (features,
+    loss, outlier filter; the published single member) with ``iterations`` as the bound of its
+    rounds, or the ``tweedie`` one on second-generation features.
     """
+    if model not in ("boosted", "tweedie"):
+        raise ValueError(f"no such model: {model}")
     keys = ["VisitDate", "PointID", "CategoryID"]
-    frame, features = learning.training_frame(features_v2(fact, start, end), features=learning.model_features())
+    if model == "boosted":
+        raw = features_v1(materialize(fact, "daily-sales"), start, end, calendar_flag=True, history_flag=True, sales_flag=True)
+        features = learning.feature_set_by_type(raw)
+        frame, _ = learning.training_frame(raw, features=features)
+    else:
+        frame, features = learning.training_frame(features_v2(fact, start, end), features=learning.model_features())
     frame = materialize(stats.iqr_filter(materialize(frame, "training-frame"), learning.TARGET), "training-frame")
+    # categories may be text here; the modulo order of the folds needs the number
+    numbered = frame.withColumn("_point", F.col("PointID").cast("long"))
+    by_time = stats.time_series_folds(numbered, "VisitDate", ["_point", "CategoryID"]).drop("_point")
+    if model == "boosted":
+        vectors = learning.boosted_vectors(stats.kfold(by_time, keys), features, "block", "fold")
+        series = learning.cross_validate_boosted(vectors, "block", True, iterations)
+        shuffled = learning.cross_validate_boosted(vectors, "fold", False, iterations)
+        return learning.compare_schemes(series, shuffled)
 
     def train(part: DataFrame):
-        if iterations is not None:
-            return learning.train_boosted(part, features, iterations=iterations)
         return learning.train_tweedie(part, features)
 
-    # categories are text here; the modulo order of the folds needs the number
-    numbered = frame.withColumn("_point", F.col("PointID").cast("long"))
-    by_time = stats.time_series_folds(numbered, "VisitDate", ["_point", "CategoryID"]).drop("_point")
     series = learning.cross_validate(by_time, features, "block", True, train)
     shuffled = learning.cross_validate(stats.kfold(frame, keys), features, "fold", False, train)
     return learning.compare_schemes(series, shuffled)
