@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import chat, codec, fingerprints as fpr, linededup, packing, quality, sharding, simhash, tokencount, vectors
+from shelfcast.llm import chat, codec, fillmiddle, fingerprints as fpr, linededup, packing, quality, sharding, simhash, tokencount, vectors
 from shelfcast.llm.common import documents, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -110,3 +110,11 @@ def op9_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op13_wavelet_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fillmiddle.transform(documents(spark, sf_dir))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fillmiddle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))

@@ -103,3 +103,20 @@ def pack_ids(ids, capacity=4096):
         cut = ids[at:at + capacity]
         out.append((p, at, len(cut), zlib.crc32(struct.pack(f"<{len(cut)}I", *cut))))
     return out
+
+
+TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_middle(doc_id, text, rate=50, spm=80, unit=TOKEN):
+    """(n, form, prefix_chars, middle_chars, output) of one document."""
+    text = text or ""
+    units = unit.findall(text)
+    h = [int(sha(f"42:{'' if doc_id is None else doc_id}")[8 * i:8 * i + 8], 16) for i in range(4)]
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return len(units), "plain", None, None, text
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < spm:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
