@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators, to compare with on small tables."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -120,3 +121,29 @@ def fill_middle(doc_id, text, rate=50, spm=80, unit=TOKEN):
     if h[3] % 100 < spm:
         return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
     return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def lloyd(rows, parts=8, entries=16, rounds=6):
+    """Rows (vec_id, code, error, label_error, digest), sorted as text; rows: (vec_id, vector, label), kept vectors of one length."""
+    whole = lambda x: int(x) * 4096 if abs(x) >= 2**52 else math.floor(4096 * x)
+    kept = [(i, [whole(x) for x in v], lab) for i, v, lab in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    width = max(1, -(-len(kept[0][1]) // parts))
+    cut = [[tuple((v + [0] * width * parts)[p * width:(p + 1) * width]) for p in range(parts)] for _, v, _ in kept]
+    first = sorted(range(len(kept)), key=lambda j: (kept[j][0] is None, kept[j][0] or 0, [float(x) for x in kept[j][1]]))[:entries]
+    book = [[cut[j][p] for j in first] for p in range(parts)]
+    dist = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    near = lambda x, b: min(range(len(b)), key=lambda e: (dist(x, b[e]), e))
+    for _ in range(rounds):
+        for p in range(parts):
+            of = [near(c[p], book[p]) for c in cut]
+            for e in set(of):
+                own = [c[p] for c, o in zip(cut, of) if o == e]
+                book[p][e] = tuple(sum(x) // len(own) for x in zip(*own))
+    codes = [[near(c[p], book[p]) for p in range(parts)] for c in cut]
+    errors = [sum(dist(c[p], book[p][k[p]]) for p in range(parts)) for c, k in zip(cut, codes)]
+    total = {}
+    for (_, _, lab), e in zip(kept, errors):
+        total[lab] = total.get(lab, 0) + e
+    digest = sha(",".join(str(x) for b in book for e in b for x in e))
+    long = lambda x: x if x < 2**63 else None
+    return sorted(((i, "".join(f"{x:02x}" for x in k), long(e), long(total[lab]), digest) for (i, _, lab), k, e in zip(kept, codes, errors)), key=str)
