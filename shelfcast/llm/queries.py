@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import chat, codec, dualtree, fillmiddle, fingerprints as fpr, linededup, packing, quality, sharding, simhash, tokencount, vectors
+from shelfcast.llm import chat, codec, dimscan, dualtree, fillmiddle, fingerprints as fpr, linededup, packing, quality, sharding, simhash, tokencount, vectors
 from shelfcast.llm.common import documents, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -117,6 +117,11 @@ def op11_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dualtree.compress(table(spark, sf_dir, "embeddings"))[0]
 
 
+@query
+def op12_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimscan.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_wavelet_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fillmiddle.transform(documents(spark, sf_dir))
