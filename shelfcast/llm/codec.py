@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from shelfcast.llm.common import keyed, prepare_python
-from shelfcast.llm.tokencount import KNOWN, SPACE, byte_letters, merges_needed
+from shelfcast.llm.tokencount import KEPT_BYTES, KEPT_LETTERS, SPACE, byte_letters, entry_bytes, merges_needed
 
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 # White space next to a blank: there a cut before the blank is not certain.
@@ -49,6 +49,7 @@ class Codec(dict):
         self.words = regex.compile(WORDS)
         self.fragments: dict[bytes, bytes] = {}
         self.old, self.old_fragments = {}, {}
+        self.room = self.fragment_room = KEPT_BYTES
         self.texts = {i: t for t, i in raw.items()} | {i: k.encode() for k, i in special.items()}
 
     def cuts(self, word: bytes) -> list[bytes]:
@@ -59,13 +60,15 @@ class Codec(dict):
     def fragment(self, piece: bytes) -> bytes:
         found = self.fragments.get(piece)
         if found is None:
-            if len(self.fragments) >= KNOWN:
-                self.fragments, self.old_fragments = {}, self.fragments
             found = self.old_fragments.get(piece)
             if found is None:
                 parts = merge([piece[i:i + 1] for i in range(len(piece))], self.ranks)
                 found = array("I", [self.ids[p] for p in parts]).tobytes()
-            self.fragments[piece] = found
+            if len(piece) <= KEPT_LETTERS:
+                if self.fragment_room <= 0:
+                    self.fragments, self.old_fragments, self.fragment_room = {}, self.fragments, KEPT_BYTES
+                self.fragments[piece] = found
+                self.fragment_room -= entry_bytes(piece, found)
         return found
 
     def run(self, text: str) -> bytes:
@@ -73,11 +76,14 @@ class Codec(dict):
         return b"".join(self.fragment(f) for w in self.words.findall(text) for f in self.cuts(w.encode()))
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KNOWN:
-            self.old = dict(self)
-            self.clear()
         found = self.old.get(piece)
-        found = self[piece] = self.run(" " + piece) if found is None else found
+        found = self.run(" " + piece) if found is None else found
+        if len(piece) <= KEPT_LETTERS:
+            if self.room <= 0:
+                self.old, self.room = dict(self), KEPT_BYTES
+                self.clear()
+            self[piece] = found
+            self.room -= entry_bytes(piece, found)
         return found
 
     def plain(self, text: str) -> bytes:

@@ -3,15 +3,19 @@
 Documents become pieces of at most ``capacity`` tokens. The histogram of piece
 lengths (one number per length, whatever the rows) is packed on the driver:
 
-* A configuration is a multiset of lengths that fits one sequence; the linear
-  program asks for the fewest sequences that cover the histogram.
-* Multiplicative weights: a length's weight falls as it is covered. Each round
+* Neighbouring lengths form classes of about equal counts, each as long as its
+  longest; the shortest pieces, about a sixth of all tokens, are kept as filling.
+* A configuration is a multiset of classes that fits one sequence; the linear
+  program asks for the fewest sequences that cover the classes.
+* Multiplicative weights: a class's weight falls as it is covered. Each round
   prices configurations by knapsack dynamic programming over the capacity,
-  takes for every length the best configuration through it if its value is
+  takes for every class the best configuration through it if its value is
   within ``eps`` of the best, and raises all of them together.
-* The fractional solution is rounded down to whole sequences; what remains of
-  the histogram is packed best fit, longest first, on whole groups of equal
-  sequences.
+* Weight is then shifted between the configurations found, never to more
+  sequences, until no more of them than classes are left; further shifts follow while one saves sequences.
+* Their amounts are rounded down to whole sequences, whose places the real
+  pieces of the classes take. What remains, filling included, goes best fit, longest first, into the room of
+  these sequences and into new ones.
 
 Every piece gets its rank among the pieces of its length from counts per part
 of the stored piece table, and its place from the plan by rank. Pieces are
@@ -32,16 +36,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from shelfcast.llm.common import keyed, materialize, prepare_python
-from shelfcast.llm.tokencount import Pieces
+from shelfcast.llm.tokencount import SPACE, Pieces, byte_letters
 
 CAPACITY, END = 4096, 1
 ROUNDS, EPS, STEP = 60, 0.1, 1.0
+# At most so many classes, and so many sequences for each; share of all tokens in the pieces kept as filling, and how much of it configurations leave room for.
+CLASSES, FEW_CLASSES, PER_CLASS, FILLING, RESERVE = 192, 16, 8, 0.16, 1.06
 PIECES = "doc_id long, th long, piece int, start long, length long, ids binary, ids_crc32 long, part int, rank long"
+# Bytes of text whose ids are made at once.
+SLICE_BYTES = 4 << 20
 
 Config = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
@@ -50,14 +59,15 @@ Config = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
 
 class PieceIds(Pieces):
-    """Ids, little-endian and four bytes each; the library encodes every word that is not known yet."""
+    """Ids, little-endian and four bytes each; the library's model merges every word that is not known yet."""
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
-        self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer.from_file(path).model
+        self.letters = byte_letters()
 
     def make(self, word: str) -> bytes:
-        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return array("I", [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, word.encode())))]).tobytes()
 
     def make_special(self, text: str) -> bytes:
         return self.special[text].to_bytes(4, "little")
@@ -65,31 +75,72 @@ class PieceIds(Pieces):
     def total(self, parts) -> bytes:
         return b"".join(parts)
 
+    def column(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts laid end to end, ``end`` after each, and the place behind each text.
+
+        Each different piece of the texts is looked up once.
+        """
+        parts = pc.split_pattern_regex(texts, f"[{SPACE}]+")
+        coded = parts.flatten().dictionary_encode()
+        found = [self[p] for p in coded.dictionary.to_pylist()]
+        pool = np.frombuffer(b"".join(found), "<u4")
+        size = np.array([len(f) for f in found], np.int64) // 4
+        first = np.cumsum(size) - size
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        many = np.concatenate([[0], np.cumsum(size[at])]) if len(at) else np.zeros(1, np.int64)
+        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        ends = many[offsets[1:]] + np.arange(1, len(texts) + 1)
+        ids = np.full(int(many[-1]) + len(texts), end, "<u4")
+        body = np.ones(len(ids), bool)
+        body[ends - 1] = False
+        ids[body] = pool[np.repeat(first[at] - many[:-1], size[at]) + np.arange(many[-1])]
+        return ids, ends
+
 
 @lru_cache(1)
 def piece_ids(path: str) -> PieceIds:
     return PieceIds(path)
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """Stored table of pieces with ids, checksum, and rank among the pieces of equal length of the same part."""
+def _slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes together; a longer text is alone."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:
+    """Stored table of pieces with ids (NULL if not asked for), checksum, and rank among the pieces of equal length of the same part."""
     prepare_python(docs.sparkSession)
-    tail = np.array([end], "<u4").tobytes()
+    names = [c.split()[0] for c in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, part = piece_ids(tokenizer), Counter(), TaskContext.get().partitionId()
         for b in batches:
-            out: list[tuple] = []
-            for doc_id, th, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "text"))):
-                ids = encoder.text(text) + tail
-                for at in range(0, len(ids), 4 * capacity):
-                    cut = ids[at:at + 4 * capacity]
-                    n = len(cut) // 4
-                    out.append((doc_id, th, at // (4 * capacity), at // 4, n, cut, zlib.crc32(cut), part, seen[n]))
+            for lo, hi in _slices(b.column("text")):
+                rows = b.slice(lo, hi - lo)
+                ids, ends = encoder.column(rows.column("text"), end)
+                size = np.diff(ends, prepend=0)
+                cuts = -(-size // capacity)
+                row = np.repeat(np.arange(len(rows)), cuts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+                start = piece * capacity
+                length = np.minimum(capacity, size[row] - start)
+                at = (ends - size)[row] + start
+                raw, rank = memoryview(ids.tobytes()), []
+                for n in length.tolist():
+                    rank.append(seen[n])
                     seen[n] += 1
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
-            names = [c.split()[0] for c in PIECES.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 9, kinds)], names)
+                cut = [raw[4 * a:4 * (a + n)] for a, n in zip(at.tolist(), length.tolist())]
+                offsets = pa.py_buffer(np.append(4 * at, 4 * len(ids)).astype(np.int32).tobytes())  # pieces lie end to end
+                kept = pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, pa.py_buffer(raw)]) if with_ids else pa.nulls(len(row), pa.binary())
+                of = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id").take(of), rows.column("th").take(of), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), kept,
+                     pa.array([zlib.crc32(c) for c in cut], pa.int64()), pa.array(np.full(len(row), part, np.int32)), pa.array(rank, pa.int64())], names)
 
     return materialize(keyed(docs).select("doc_id", "th", "text").mapInArrow(run, PIECES), "pieces")
 
@@ -124,16 +175,12 @@ def trace(first: np.ndarray, pick: np.ndarray, lengths: np.ndarray, capacity: in
     return np.stack(rows, 1)
 
 
-def configurations(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, eps: float = EPS, step: float = STEP) -> dict[Config, float]:
-    """Fractional solution: amount of each configuration that reaches one sequence; no length is covered beyond its count.
+def configurations(demand: np.ndarray, lengths: np.ndarray, capacity: int, rounds: int = ROUNDS, eps: float = EPS, step: float = STEP) -> dict[bytes, float]:
+    """Fractional solution: amounts of configurations (indices of lengths, int32); no length is covered beyond its demand.
 
     A round raises all configurations priced within ``eps`` of the best, so that
-    the cover of no length grows by more than ``step`` of its count.
+    the cover of no length grows by more than ``step`` of its demand.
     """
-    lengths = np.array(sorted(histogram), np.int64)
-    if not len(lengths):
-        return {}
-    demand = np.array([histogram[int(n)] for n in lengths], float)
     covered, amounts = np.zeros(len(lengths)), Counter()
     sharp = np.log(len(lengths) + 1.0)
     for _ in range(rounds):
@@ -153,30 +200,135 @@ def configurations(histogram: dict[int, int], capacity: int, rounds: int = ROUND
         covered += np.bincount(chosen[real], weights=np.broadcast_to(x[:, None], chosen.shape)[real], minlength=len(lengths))
         for row, ok, amount in zip(chosen.astype(np.int32), real, x):
             amounts[row[ok].tobytes()] += amount
-    found = {}
-    for row, x in amounts.items():
-        if x >= 1:
-            i, n = np.unique(np.frombuffer(row, np.int32), return_counts=True)
-            found[tuple((int(lengths[a]), int(b)) for a, b in zip(i[::-1], n[::-1]))] = float(x)
-    return found
-
-
-def round_down(amounts: dict[Config, float], histogram: dict[int, int]) -> tuple[list[tuple[Config, int]], dict[int, int]]:
-    """Whole sequences of each configuration, and what they leave of the histogram."""
-    left, plan = dict(histogram), []
-    for config, x in sorted(amounts.items(), key=lambda a: (-a[1], a[0])):
-        m = min(int(x + 1e-6), *(left[n] // c for n, c in config))
-        if m > 0:
-            plan.append((config, m))
-            for n, c in config:
-                left[n] -= m * c
-    return plan, {n: c for n, c in left.items() if c}
-
-
-def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
+    return amounts
+
+
+def few_configurations(amounts: dict[bytes, float], demand: np.ndarray, lengths: np.ndarray, capacity: int) -> list[tuple[np.ndarray, float]]:
+    """The solution with at most as many configurations (copies of each length) as lengths, in no more sequences.
+
+    Starts from sequences of one length for what the solution leaves uncovered. A
+    configuration more is a mix of those held; moving along that mix, in the
+    direction that costs no sequences, empties one of them. At the end mixes that save sequences are taken up.
+    """
+    n = len(lengths)
+    held = np.diag((capacity // lengths).astype(float))
+    rows = [np.bincount(np.frombuffer(r, np.int32), minlength=n).astype(float) for r in amounts]
+    columns = np.array(rows).reshape(len(rows), n)
+    extra = np.array(list(amounts.values()))
+    x = np.maximum(0.0, demand - extra @ columns) / np.diag(held)
+    inverse = np.linalg.inv(held)
+
+    def enter(j: int, mix: np.ndarray, amount: float, sign: float) -> float:
+        """Move column j by sign; returns the amount that it keeps outside of the held ones."""
+        nonlocal inverse
+        down = sign * mix
+        limits = np.where(down > 1e-9, x / np.where(down > 1e-9, down, 1.0), np.inf)
+        i = int(limits.argmin())
+        most = min(limits[i], amount if sign < 0 else np.inf)
+        if sign < 0 and amount <= limits[i]:
+            x[:] = np.maximum(0.0, x - amount * down)
+            return 0.0
+        x[:] = np.maximum(0.0, x - most * down)
+        x[i] = amount + sign * most
+        held[:, i] = columns[j]
+        inverse[i] /= mix[i]
+        others = np.arange(n) != i
+        inverse[others] -= np.outer(mix[others], inverse[i])
+        return 0.0
+
+    for j in range(len(columns)):
+        if extra[j] <= 0:
+            continue
+        if j % 256 == 255:
+            inverse = np.linalg.inv(held)
+        mix = inverse @ columns[j]
+        extra[j] = enter(j, mix, extra[j], 1.0 if mix.sum() > 1 else -1.0)
+    for _ in range(2 * n if len(columns) else 0):
+        inverse = np.linalg.inv(held)
+        saved = columns @ inverse.sum(0) - 1
+        j = int(saved.argmax())
+        if saved[j] < 1e-7:
+            break
+        enter(j, inverse @ columns[j], 0.0, 1.0)
+    return [(held[:, i].round().astype(int), float(x[i])) for i in range(n) if x[i] > 1e-9]
+
+
+def classes_of(histogram: dict[int, int], capacity: int) -> tuple[list[list[int]], dict[int, int], int]:
+    """Neighbouring lengths as classes of about equal counts, shortest first; the filling left out of them; room of a configuration.
+
+    Configurations leave room for most of the filling, and a length beyond theirs is in no class: it has only one, itself.
+    """
+    filling, kept, tokens = {}, [], sum(n * c for n, c in histogram.items())
+    room = FILLING * tokens
+    for n in sorted(histogram):
+        if not kept and room >= n * histogram[n]:
+            room -= n * histogram[n]
+            filling[n] = histogram[n]
+        else:
+            kept.append(n)
+    whole = capacity - int(capacity * RESERVE * sum(n * c for n, c in filling.items()) / tokens)
+    kept = [n for n in kept if n <= whole]
+    many = max(1, min(CLASSES, max(FEW_CLASSES, tokens // (capacity * PER_CLASS))))
+    per, groups, held = sum(histogram[n] for n in kept) / many, [], 0
+    for n in kept:
+        if not groups or held >= per * len(groups):
+            groups.append([])
+        groups[-1].append(n)
+        held += histogram[n]
+    return groups, filling, whole
+
+
+def planned(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[Config, int]], dict[int, int]]:
+    """Sequences that the linear program places, with their real pieces, and what remains of the histogram."""
+    if not histogram:
+        return [], {}
+    groups, rest, whole = classes_of(histogram, capacity)
+    plan = [(((n, 1),), c) for n, c in histogram.items() if n > whole]
+    if not groups:
+        return plan, rest
+    lengths = np.array([g[-1] for g in groups], np.int64)
+    demand = np.array([sum(histogram[n] for n in g) for g in groups], float)
+    found = few_configurations(configurations(demand, lengths, whole), demand, lengths, whole)
+    queues = [[[n, histogram[n]] for n in g] for g in groups]  # the longest at the end is taken first
+    left = demand.astype(int)
+    for copies, x in sorted(found, key=lambda f: -f[1]):
+        used = np.flatnonzero(copies)
+        m = min([int(x + 1e-6), *(left[used] // copies[used]).tolist()])
+        if m < 1:
+            continue
+        left[used] -= m * copies[used]
+        slots = [_taken(queues[i], m) for i in used for _ in range(copies[i])]
+        cuts = sorted({c for slot in slots for c, _ in slot})
+        for lo, hi in zip([0, *cuts], cuts):
+            config = Counter(next(n for c, n in slot if c >= hi) for slot in slots)
+            plan.append((tuple(sorted(config.items(), reverse=True)), hi - lo))
+    for q in queues:
+        for n, c in q:
+            if c:
+                rest[n] = rest.get(n, 0) + c
+    return plan, rest
+
+
+def _taken(queue: list[list[int]], m: int) -> list[tuple[int, int]]:
+    """``m`` pieces from a queue of (length, count) as runs (place behind the run, length)."""
+    runs, at = [], 0
+    while at < m:
+        n, c = queue[-1]
+        take = min(c, m - at)
+        at += take
+        runs.append((at, n))
+        queue[-1][1] -= take
+        if not queue[-1][1]:
+            queue.pop()
+    return runs
+
+
+def best_fit(histogram: dict[int, int], capacity: int, started: list[tuple[Config, int]] = ()) -> list[tuple[Config, int]]:
     """Best fit, longest first, on groups of equal sequences: groups with the least room that is enough take the next length."""
     groups: dict[int, Counter] = {}
     rooms = np.zeros(capacity + 1, bool)
+    for config, m in started:
+        _add(groups, rooms, capacity - sum(n * c for n, c in config), config, m)
     for n in sorted(histogram, reverse=True):
         todo = histogram[n]
         while todo:
@@ -209,8 +361,8 @@ def _add(groups: dict[int, Counter], rooms: np.ndarray, room: int, config: Confi
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Config, int]]:
     """(configuration, number of sequences) that hold exactly the pieces of the histogram."""
-    whole, left = round_down(configurations(histogram, capacity), histogram)
-    return whole + best_fit(left, capacity)
+    placed, left = planned(histogram, capacity)
+    return best_fit(left, capacity, placed)
 
 
 # --- places -------------------------------------------------------------------------------
@@ -229,9 +381,9 @@ def blocks(plan: list[tuple[Config, int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """(doc_id, th, piece, start, length, ids, ids_crc32, sequence_id, offset) of every piece."""
-    cut = pieces(docs, tokenizer, capacity, end)
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:
+    """(doc_id, th, piece, start, length, ids, ids_crc32, sequence_id, offset) of every piece; ids are NULL if not asked for."""
+    cut = pieces(docs, tokenizer, capacity, end, with_ids)
     counts = materialize(cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "length-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     table = blocks(plan_sequences(histogram, capacity))

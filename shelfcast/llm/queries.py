@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.llm import chat, codec, dimscan, dualtree, fillmiddle, fingerprints as fpr, linededup, packing, quality, sharding, simhash, tokencount, vectors
 from shelfcast.llm.common import documents, table
 
-TOKENIZERS = "/opt/tokenizers"
-WORD_BPE, BYTE_BPE = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,7 +94,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = packing.pack(documents(spark, sf_dir), WORD_BPE)
+    placed = packing.pack(documents(spark, sf_dir), WORD_BPE, with_ids=False)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

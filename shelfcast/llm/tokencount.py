@@ -4,7 +4,7 @@ A word starts as one symbol per byte. A heap holds the adjacent pairs by rank
 and place; the lowest is popped, its symbols are joined in a linked list and
 the new neighbour pairs are pushed, until no pair has a rank. The count is the
 number of initial symbols minus the merges. Words repeat, so each task keeps
-the counts of words it has seen in a bounded table (it is emptied when full).
+the counts of words it has seen in tables bounded in bytes.
 
 Results: a NULL or empty text has 0 bytes and 0 tokens. Texts are counted
 whole. A NULL doc_id and repeated rows pass through. An empty table gives no rows.
@@ -29,7 +29,13 @@ from shelfcast.llm.common import keyed, prepare_python
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 EXTRA = re.compile("[\x1c-\x1f]")
 SPLIT = re.compile(f"[{SPACE}]+")
-KNOWN = 400_000
+# Tables of what has been seen: pieces of more letters are not kept (a text without blanks is one piece),
+# and a table is full at so many bytes, by an estimate of what an entry takes.
+KEPT_LETTERS, KEPT_BYTES = 64, 64 << 20
+
+
+def entry_bytes(key, value) -> int:
+    return 180 + 2 * len(key) + (len(value) if isinstance(value, bytes) else 0)
 
 
 def byte_letters() -> dict[int, str]:
@@ -83,6 +89,7 @@ class Pieces(dict):
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.by_word: dict = {}
         self.old, self.old_words = {}, {}
+        self.room = self.word_room = KEPT_BYTES
 
     def make(self, word: str):
         raise NotImplementedError
@@ -96,10 +103,13 @@ class Pieces(dict):
     def word(self, word: str):
         found = self.by_word.get(word)
         if found is None:
-            if len(self.by_word) >= KNOWN:
-                self.by_word, self.old_words = {}, self.by_word
             found = self.old_words.get(word)
-            self.by_word[word] = found = self.make(word) if found is None else found
+            found = self.make(word) if found is None else found
+            if len(word) <= KEPT_LETTERS:
+                if self.word_room <= 0:
+                    self.by_word, self.old_words, self.word_room = {}, self.by_word, KEPT_BYTES
+                self.by_word[word] = found
+                self.word_room -= entry_bytes(word, found)
         return found
 
     def plain(self, piece: str):
@@ -113,9 +123,6 @@ class Pieces(dict):
         return self.total(map(self.word, self.words.findall(piece)))
 
     def __missing__(self, piece: str):
-        if len(self) >= KNOWN:
-            self.old = dict(self)
-            self.clear()
         found = self.old.get(piece)
         if found is not None:
             pass
@@ -123,7 +130,12 @@ class Pieces(dict):
             found = self.total(self.make_special(p) if p in self.special else self.plain(p) for p in self.specials.split(piece))
         else:
             found = self.plain(piece)
-        self[piece] = found
+        if len(piece) <= KEPT_LETTERS:
+            if self.room <= 0:
+                self.old, self.room = dict(self), KEPT_BYTES
+                self.clear()
+            self[piece] = found
+            self.room -= entry_bytes(piece, found)
         return found
 
     def text(self, text: str):

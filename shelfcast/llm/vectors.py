@@ -103,6 +103,11 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows with a largest component of about one, by powers of two: cosines stay and cannot overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def hashed(classes: DataFrame, tables: int = TABLES, n: int = PROBES) -> DataFrame:
     """``classes`` with size (of the vector) and keys (the probed buckets of all tables, ascending)."""
 
@@ -111,8 +116,7 @@ def hashed(classes: DataFrame, tables: int = TABLES, n: int = PROBES) -> DataFra
             sizes = np.diff(b.column("v").offsets.to_numpy())
             for size in np.unique(sizes):
                 part = b.take(pa.array(np.flatnonzero(sizes == size)))
-                x = _matrix(part.column("v"))
-                x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+                x = _scaled(_matrix(part.column("v")))
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 keys = np.concatenate([probes(x, t, n) + (t << 48) for t in range(tables)], 1)
                 keys.sort(axis=1)
@@ -168,7 +172,7 @@ def linked(stored: DataFrame, least: float = 0.98, chunk: int = CHUNK) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, both in runs(batches, group):
-            v, own_ = _matrix(both.column("v").combine_chunks()), both.column("own").to_numpy()
+            v, own_ = _scaled(_matrix(both.column("v").combine_chunks())), both.column("own").to_numpy()
             whole = {"v": v, "norm": np.linalg.norm(v, axis=1), "keys": _matrix(both.column("keys").combine_chunks()),
                      "rep": both.column("rep").to_numpy(), "n": both.column("n").to_numpy()}
             first = own_ == key[3]
