@@ -42,15 +42,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from shelfcast.llm.common import keyed, materialize, prepare_python
-from shelfcast.llm.tokencount import SPACE, Pieces, byte_letters
+from shelfcast.llm.tokencount import KEPT_BYTES, SPACE, Pieces, byte_letters
 
 CAPACITY, END = 4096, 1
 ROUNDS, EPS, STEP = 60, 0.1, 1.0
 # At most so many classes, and so many sequences for each; share of all tokens in the pieces kept as filling, and how much of it configurations leave room for.
 CLASSES, FEW_CLASSES, PER_CLASS, FILLING, RESERVE = 192, 16, 8, 0.16, 1.06
 PIECES = "doc_id long, th long, piece int, start long, length long, ids binary, ids_crc32 long, part int, rank long"
-# Bytes of text whose ids are made at once.
-SLICE_BYTES = 4 << 20
+# Bytes of text whose ids are made at once: different pieces are looked up once in each.
+SLICE_BYTES = 16 << 20
 
 Config = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
@@ -62,7 +62,7 @@ class PieceIds(Pieces):
     """Ids, little-endian and four bytes each; the library's model merges every word that is not known yet."""
 
     def __init__(self, path: str) -> None:
-        super().__init__(path)
+        super().__init__(path, 2 * KEPT_BYTES)
         self.model = Tokenizer.from_file(path).model
         self.letters = byte_letters()
 
@@ -84,7 +84,7 @@ class PieceIds(Pieces):
         coded = parts.flatten().dictionary_encode()
         found = [self[p] for p in coded.dictionary.to_pylist()]
         pool = np.frombuffer(b"".join(found), "<u4")
-        size = np.array([len(f) for f in found], np.int64) // 4
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         first = np.cumsum(size) - size
         at = coded.indices.to_numpy(zero_copy_only=False)
         many = np.concatenate([[0], np.cumsum(size[at])]) if len(at) else np.zeros(1, np.int64)
@@ -112,6 +112,19 @@ def _slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``most`` bytes of text."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.column("text").nbytes
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:
     """Stored table of pieces with ids (NULL if not asked for), checksum, and rank among the pieces of equal length of the same part."""
     prepare_python(docs.sparkSession)
@@ -119,7 +132,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, part = piece_ids(tokenizer), Counter(), TaskContext.get().partitionId()
-        for b in batches:
+        for b in _gathered(batches):
             for lo, hi in _slices(b.column("text")):
                 rows = b.slice(lo, hi - lo)
                 ids, ends = encoder.column(rows.column("text"), end)
@@ -256,7 +269,7 @@ def few_configurations(amounts: dict[bytes, float], demand: np.ndarray, lengths:
 def classes_of(histogram: dict[int, int], capacity: int) -> tuple[list[list[int]], dict[int, int], int]:
     """Neighbouring lengths as classes of about equal counts, shortest first; the filling left out of them; room of a configuration.
 
-    Configurations leave room for most of the filling, and a length beyond theirs is in no class: it has only one, itself.
+    Configurations leave room for the filling if its pieces fit that room, and a length beyond theirs is in no class: it has only one, itself.
     """
     filling, kept, tokens = {}, [], sum(n * c for n, c in histogram.items())
     room = FILLING * tokens
@@ -267,6 +280,8 @@ def classes_of(histogram: dict[int, int], capacity: int) -> tuple[list[list[int]
         else:
             kept.append(n)
     whole = capacity - int(capacity * RESERVE * sum(n * c for n, c in filling.items()) / tokens)
+    if filling and max(filling) > capacity - whole:  # it would not fit the room left for it
+        kept, filling, whole = [*filling, *kept], {}, capacity
     kept = [n for n in kept if n <= whole]
     many = max(1, min(CLASSES, max(FEW_CLASSES, tokens // (capacity * PER_CLASS))))
     per, groups, held = sum(histogram[n] for n in kept) / many, [], 0

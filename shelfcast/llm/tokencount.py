@@ -80,7 +80,8 @@ class Pieces(dict):
     says what a word and a special string give, and how the words of a piece add up.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int | None = None) -> None:
+        self.kept = KEPT_BYTES if kept is None else kept
         with open(path, encoding="utf-8") as f:
             self.spec = json.load(f)
         pattern = self.spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -89,7 +90,7 @@ class Pieces(dict):
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.by_word: dict = {}
         self.old, self.old_words = {}, {}
-        self.room = self.word_room = KEPT_BYTES
+        self.room = self.word_room = self.kept
 
     def make(self, word: str):
         raise NotImplementedError
@@ -107,7 +108,7 @@ class Pieces(dict):
             found = self.make(word) if found is None else found
             if len(word) <= KEPT_LETTERS:
                 if self.word_room <= 0:
-                    self.by_word, self.old_words, self.word_room = {}, self.by_word, KEPT_BYTES
+                    self.by_word, self.old_words, self.word_room = {}, self.by_word, self.kept
                 self.by_word[word] = found
                 self.word_room -= entry_bytes(word, found)
         return found
@@ -132,7 +133,7 @@ class Pieces(dict):
             found = self.plain(piece)
         if len(piece) <= KEPT_LETTERS:
             if self.room <= 0:
-                self.old, self.room = dict(self), KEPT_BYTES
+                self.old, self.room = dict(self), self.kept
                 self.clear()
             self[piece] = found
             self.room -= entry_bytes(piece, found)
