@@ -365,6 +365,7 @@ def test_tables_of_seen_pieces_are_bounded():
 def test_full_tables_turn_over(monkeypatch):
     monkeypatch.setattr(tokencount, "KEPT_BYTES", 20_000)
     monkeypatch.setattr(codec, "KEPT_BYTES", 20_000)
+    monkeypatch.setattr(packing, "KEPT_BYTES", 10_000)
     counts, ids, c = tokencount.WordCounts(q.WORD_BPE), packing.PieceIds(q.WORD_BPE), codec.Codec(q.BYTE_BPE)
     word, byte = Tokenizer.from_file(q.WORD_BPE), Tokenizer.from_file(q.BYTE_BPE)
     rng = random.Random(2)
