@@ -306,6 +306,26 @@ O["training_matrix_v1"] = ("select f.* replace (" + ", ".join(
 O["time_series_folds"] = """select VisitDate, PointID, CategoryID, SumRoubles,
  cast(case when i < n - 5 * (n // 6) then 0 else 1 + (i - (n - 5 * (n // 6))) // (n // 6) end as int) as block
  from (select *, count(*) over () as n, row_number() over (order by VisitDate, cast('0x' || substr(md5(cast(PointID as varchar)), 1, 3) as int), PointID, CategoryID) - 1 as i from day_fact)"""
+_ENCODED = [("Point", ["PointID"]), ("Cell", ["MicroRegionID"]), ("PointCategory", ["PointID", "CategoryID"])]
+O["target_encoding"] = "with " + ", ".join(
+    [f"""day_{n} as (select {', '.join(k)}, VisitDate, sum(SumRoubles) as s, count(SumRoubles) as c from day_fact group by all),
+ state_{n} as (select {', '.join(k)}, VisitDate, sum(s) over w as s, coalesce(sum(c) over w, 0) as c from day_{n}
+  window w as (partition by {', '.join(k)} order by VisitDate rows between unbounded preceding and 1 preceding))""" for n, k in _ENCODED]
+    + ["""all_days as (select VisitDate, sum(s) over w / sum(c) over w as m from (select VisitDate, sum(SumRoubles) as s, count(SumRoubles) as c from day_fact group by all)
+ window w as (order by VisitDate rows between unbounded preceding and 1 preceding))"""]) + " select f.VisitDate, f.PointID, f.CategoryID, f.MicroRegionID, f.SumRoubles, " + ", ".join(
+    f"round(coalesce((coalesce(e{n}.s, 0) + 20 * a.m) / (e{n}.c + 20), 0), 6) as {n}Mean, cast(e{n}.c as bigint) as {n}Rows" for n, _ in _ENCODED) + " from day_fact f join all_days a using (VisitDate) " + " ".join(
+    f"join state_{n} e{n} on f.VisitDate = e{n}.VisitDate and " + " and ".join(f"f.{k} is not distinct from e{n}.{k}" for k in key) for n, key in _ENCODED)
+_FOLD_SCORES = "avg(abs(SumRoubles - forecast)) as mae, sqrt(avg(power(SumRoubles - forecast, 2))) as rmse, 1 - avg(power(SumRoubles - forecast, 2)) / var_pop(SumRoubles) as r2"
+O["fold_scores"] = f"""with placed as (select b.*, row_number() over (order by VisitDate, cast('0x' || substr(md5(cast(PointID as varchar)), 1, 3) as int), PointID, CategoryID) - 1 as i,
+  count(*) over () as n, cast('0x' || substr(md5(VisitDate || '|' || PointID || '|' || CategoryID || '|42'), 1, 7) as bigint) % 5 as fold from baseline b),
+ parts as (select 'time_series' as scheme, 1 + (i - (n - 5 * (n // 6))) // (n // 6) as part, SumRoubles, forecast from placed where i >= n - 5 * (n // 6)
+  union all select 'kfold', fold, SumRoubles, forecast from placed),
+ scores as (select scheme, part, {_FOLD_SCORES} from parts group by scheme, part),
+ both_schemes as (select scheme, {', '.join(f"{a}({m}) as {m}_{s}" for m in ("mae", "rmse", "r2") for a, s in (("avg", "mean"), ("stddev_pop", "std")))} from scores group by scheme)
+ select scheme, {', '.join(f"round({m}_{s}, 6) as {m}_{s}" for m in ("mae", "rmse", "r2") for s in ("mean", "std"))}, r2_mean = max(r2_mean) over () as best from both_schemes"""
+O["numbered_append"] = """with sizes as (select cast(CategoryID > 3 as int) as second, count(*) as n, min(CategoryID) as first_category, max(CategoryID) as last_category from predictions group by 1)
+ select second, n, n as ids, cast(coalesce(sum(n) over (order by second rows between unbounded preceding and 1 preceding), 0) as bigint) as first_id,
+ cast(sum(n) over (order by second) - 1 as bigint) as last_id, first_category, last_category from sizes"""
 O["kfold"] = """select VisitDate, PointID, CategoryID,
  cast(cast('0x' || substr(md5(VisitDate || '|' || PointID || '|' || CategoryID || '|42'), 1, 7) as bigint) % 5 as int) as fold from day_fact"""
 O["forecast_sanitise"] = """select * replace (round(least(forecast, greatest((select quantile_cont(forecast, 0.999) from wild1), 1e6)), 4) as forecast) from wild1"""
@@ -364,6 +384,9 @@ def sql(name: str) -> str:
     if not chosen:
         return ORACLE[name]
     body = ",\n".join(f"{p} as ({PARTS[p]})" for p in chosen)
+    own = ORACLE[name]
+    if own.startswith("with "):  # its own subqueries follow the shared ones
+        return f"with {'recursive ' if 'walk' in chosen else ''}{body},\n{own[5:]}"
     return f"with {'recursive ' if 'walk' in chosen else ''}{body}\n{ORACLE[name]}"
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.columns import lower_columns
-from shelfcast.operators import calendar, classes, facts, history_v1, history_v2, learning, recommend as rec, statistics as stats
+from shelfcast.operators import calendar, classes, encoding, facts, history_v1, history_v2, learning, recommend as rec, statistics as stats
 from shelfcast.plans import jobs
 from shelfcast.schemas import RECOMMENDATIONS, RECOMMENDATIONS_ADDED, RULE_SYNONYMS
 from shelfcast.session import materialize, scratch_path
@@ -406,6 +406,23 @@ def time_series_folds(spark, sf):
     return stats.time_series_folds(rows, "VisitDate", ["PointID", "CategoryID"])
 
 
+@query
+def target_encoding(spark, sf):
+    rows = materialize(daily(spark, sf).select(*KEYS, "MicroRegionID", "SumRoubles"), "daily-sales")
+    return rounded(encoding.encode_as_of(rows), 6, *[f"{k}Mean" for k in encoding.KEYS])
+
+
+@query
+def fold_scores(spark, sf):
+    """Both schemes on the baseline forecast: fold metrics, their mean and spread, and the better scheme."""
+    rows = _baseline(spark, sf)
+    by_time = stats.time_series_folds(rows, "VisitDate", ["PointID", "CategoryID"]).where("block > 0")
+    series = stats.regression_metrics(by_time, "SumRoubles", "forecast", ["block"])
+    shuffled = stats.regression_metrics(stats.kfold(rows, KEYS), "SumRoubles", "forecast", ["fold"])
+    both = learning.compare_schemes(series, shuffled)
+    return rounded(both, 6, *[c for c in both.columns if c not in ("scheme", "best")])
+
+
 @query
 def kfold(spark, sf):
     return stats.kfold(daily(spark, sf).select(*KEYS), KEYS)
@@ -526,6 +543,18 @@ def evolved_then_recreate(spark, sf):
     return sink.read_table(spark, path)
 
 
+@query
+def numbered_append(spark, sf):
+    """Identifiers of two appends: as many as rows, without gaps."""
+    path = scratch_path(spark, "numbered")
+    rows = materialize(predictions(spark, sf), "predictions")
+    written = [sink.append_export(part, path, STAMP) for part in (rows.where("CategoryID <= 3"), rows.where("CategoryID > 3"))]
+    back = spark.read.parquet(path).withColumn("second", (F.col("ID") >= written[0]).cast("int"))
+    return back.groupBy("second").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("ID").alias("ids"), F.min("ID").alias("first_id"), F.max("ID").alias("last_id"),
+        F.min("CategoryID").alias("first_category"), F.max("CategoryID").alias("last_category"))
+
+
 @query
 def append_roundtrip(spark, sf):
     """Two appends; identifiers differ from row to row."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +19,34 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return fs.exists(jpath) and fs.delete(jpath, True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no folder."""
+    fs, jpath = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False if another writer was first."""
+    fs, jpath = _fs(spark, path)
+    try:
+        stream = fs.create(jpath, False)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    try:
+        stream.writeUTF(text)
+    finally:
+        stream.close()
+    return True

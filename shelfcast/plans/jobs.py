@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcast.operators import calendar, history_v1, history_v2, learning, recommend as rec, statistics as stats
+from shelfcast.operators import calendar, encoding, history_v1, history_v2, learning, recommend as rec, statistics as stats
 from shelfcast.session import materialize, scratch_scope
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored
@@ -75,15 +75,23 @@ def train_and_score(
     fact: DataFrame, start, end, target: dt.date, path: str, params: dict | None = None, model_version: str = "tweedie_v1",
     created_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """Train the model that ``params`` describe (by default Tweedie), save it, score the target day and replace its slice."""
+    """Train the model that ``params`` describe, save it, score the target day and replace its slice.
+
+    By default it is the log-linear Tweedie model; ``model: tweedie_trees`` boosts trees with Tweedie loss. With
+    ``encode`` outlets and cells enter as their as-of sales instead of hashed categories.
+    """
     spark, params = fact.sparkSession, params or {}
     with scratch_scope(spark):
         source = materialize(fact, "daily-sales")
-        frame, features = learning.training_frame(features_v2(source, start, end), features=learning.model_features())
-        frame = materialize(frame, "training-frame")
+        rows, asked = features_v2(source, start, end), history_v2.scoring_frame(source, target)
+        features = learning.model_features()
+        if params.get("encode"):
+            rows, asked = encoding.encode_as_of(rows), encoding.encode_for_scoring(asked, source.where(F.col("VisitDate") >= F.lit(start)), target)
+            features = learning.encoded_features(features)
+        frame = materialize(learning.training_frame(rows, features=features)[0], "training-frame")
         model = learning.train_from_params(frame, features, params)
         learning.save_model(model, features, f"{path}/model")
-        scored = materialize(learning.predict(model, history_v2.scoring_frame(source, target), features), "scored")
+        scored = materialize(learning.predict(model, asked, features), "scored")
         sink.prepare_slice(spark, f"{path}/predictions", target)
         stamped = scored.withColumn("CreatedAt", F.lit(created_at).cast("timestamp")).withColumn(
             "ModelVersion", F.lit(model_version))

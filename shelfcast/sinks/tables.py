@@ -18,6 +18,7 @@ from shelfcast.functions import files
 from shelfcast.functions.columns import finite_or_null
 from shelfcast.schemas import PREDICTION_COLUMNS_V1, RECOMMENDATIONS
 from shelfcast.session import materialize
+from shelfcast.sinks import numbers
 
 READ_ORDER = ["PointID", "CategoryID"]
 
@@ -104,19 +105,23 @@ def replace_table(df: DataFrame, path: str, partition_by: str | None = None) ->
 def append_export(df: DataFrame, path: str, exported_at: dt.datetime, drop_existing: bool = False) -> int:
     """Append rows with a running ``ID`` and ``ExportedAt``; returns how many were written.
 
-    Identifiers are unique and grow over appends, with gaps: numbering without
-    gaps would need all rows in one task.
+    Identifiers run on over appends without gaps.
     """
     spark = df.sparkSession
-    base = 0
-    if not drop_existing and _stored_schema(spark, path) is not None:
-        base = (spark.read.parquet(path).agg(F.max("ID")).first()[0] or 0) + 1
-    seen = Observation()
-    rows = null_unusable(df).withColumn("ID", F.lit(base) + F.monotonically_increasing_id()).withColumn(
-        "ExportedAt", F.lit(exported_at))
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite" if drop_existing else "append").parquet(path)
-    return seen.get["rows"]
+    if drop_existing:
+        files.delete(spark, path)
+    rows, n = numbers.numbered(null_unusable(df), "ID")
+    start = _claimed(spark, path, "ID", n, 0)
+    rows.withColumn("ID", F.col("ID") + start).withColumn("ExportedAt", F.lit(exported_at)).write.mode("append").parquet(path)
+    return n
+
+
+def _claimed(spark: SparkSession, path: str, column: str, n: int, first: int) -> int:
+    """The first of ``n`` numbers for rows to append; a table without a counter is scanned once for its highest."""
+    after = None
+    if not numbers.has_claims(spark, path) and _stored_schema(spark, path) is not None:
+        after = spark.read.parquet(path).agg(F.max(column)).first()[0]
+    return numbers.claim(spark, path, n, first, after)
 
 
 def _slice_dir(path: str, day: dt.date) -> str:
@@ -238,12 +243,8 @@ def save_recommendations(
     rows = recommendation_rows(recommended, reference_date, model_version)
     rows = rows.withColumn("AvgDailySales", F.round("AvgDailySales", 2))
     spark = recommended.sparkSession
-    base = 1
-    if _stored_schema(spark, path) is not None:
-        base = (spark.read.parquet(path).agg(F.max("RecommendationId")).first()[0] or 0) + 1
-    seen = Observation()
-    stamped = conform(rows, RECOMMENDATIONS).withColumn(
-        "RecommendationId", F.lit(base) + F.monotonically_increasing_id()).withColumn("CreatedAt", F.lit(created_at))
-    (_sorted(stamped).observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").partitionBy("ReferenceDate").parquet(path))
-    return seen.get["rows"]
+    stamped, n = numbers.numbered(conform(rows, RECOMMENDATIONS), "RecommendationId")
+    start = _claimed(spark, path, "RecommendationId", n, 1)
+    stamped = stamped.withColumn("RecommendationId", F.col("RecommendationId") + start).withColumn("CreatedAt", F.lit(created_at))
+    _sorted(stamped).write.mode("append").partitionBy("ReferenceDate").parquet(path)
+    return n
