@@ -366,6 +366,7 @@ O["recreate_on_mismatch_roundtrip"] = f"select *, cast(0.5 as double) as Predict
 O["add_columns_roundtrip"] = """select pointid, categoryid, brand_id as brandid, cast(null as decimal(18,2)) as predictedsum,
  cast(null as decimal(18,2)) as extendedsum, cast(null as varchar) as comment from recs"""
 O["overwrite_roundtrip"] = "select * replace (case when PointID % 5 = 0 or PointID % 7 = 0 then null else predict_new end as predict_new) from predictions"
+O["failed_write_keeps_rows"] = "select * from predictions"
 O["csv_roundtrip"] = "select * from predictions"
 
 

@@ -543,6 +543,25 @@ def evolved_then_recreate(spark, sf):
     return sink.read_table(spark, path)
 
 
+@query
+def failed_write_keeps_rows(spark, sf):
+    """A slice whose new rows cannot all be computed leaves the stored ones as they are."""
+    path = scratch_path(spark, "failing")
+    rows = materialize(predictions(spark, sf), "predictions")
+    sink.replace_slice(rows, path, None)
+    day = dt.date(1998, 3, 31)
+    broken = F.when(F.col("PointID") % 2 == 0, F.raise_error(F.lit("no such row")).cast("double")).otherwise(F.lit(0.0))
+    for write in (lambda df: sink.replace_slice(df, path, day), lambda df: sink.replace_table(df, path)):
+        try:
+            write(rows.where(F.col("VisitDate") == F.lit(day)).withColumn("predict_new", broken))
+        except Exception as error:  # noqa: BLE001 - the failure is what is tried
+            if "no such row" not in str(error):
+                raise
+        else:
+            raise RuntimeError("the broken write went through")
+    return sink.read_table(spark, path)
+
+
 @query
 def numbered_append(spark, sf):
     """Identifiers of two appends: as many as rows, without gaps."""

@@ -50,3 +50,16 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         stream.close()
     return True
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename, making the folders above the target; an error if it does not happen."""
+    fs, jpath = _fs(spark, target)
+    fs.mkdirs(jpath.getParent())
+    if not fs.rename(_fs(spark, source)[1], jpath):
+        raise OSError(f"could not move {source} to {target}")

@@ -92,7 +92,8 @@ def train_and_score(
         model = learning.train_from_params(frame, features, params)
         learning.save_model(model, features, f"{path}/model")
         scored = materialize(learning.predict(model, asked, features), "scored")
-        sink.prepare_slice(spark, f"{path}/predictions", target)
+        if sink.is_older_kind(spark, f"{path}/predictions"):
+            sink.prepare_slice(spark, f"{path}/predictions", target)
         stamped = scored.withColumn("CreatedAt", F.lit(created_at).cast("timestamp")).withColumn(
             "ModelVersion", F.lit(model_version))
         sink.replace_slice(stamped, f"{path}/predictions", target)
@@ -101,11 +102,12 @@ def train_and_score(
 
 def train_ensemble_and_score(
     fact: DataFrame, start, end, target: dt.date, iterations: int = learning.ROUNDS, path: str | None = None,
-    created_at: dt.datetime | None = None, version: str = "catboost_v1", export_path: str | None = None,
+    created_at: dt.datetime | None = None, version: str = "catboost_v1", export_path: str | None = None, end_early: bool = False,
 ) -> DataFrame:
     """First generation: outlier filter, ensemble of boosted trees, bounded forecasts with confidence.
 
-    ``iterations`` bounds the rounds; the later days end them early.
+    All ``iterations`` rounds count. With ``end_early`` the later days end them
+    when no round brings a lesser error there.
     With a path the scored rows are also appended there, with an export path
     the training features.
     """
@@ -117,7 +119,7 @@ def train_ensemble_and_score(
         sink.append_export(raw, export_path, created_at)
     clean = materialize(learning.training_frame(raw, features=features)[0], "training-frame")
     frame = materialize(stats.iqr_filter(clean, learning.TARGET), "training-frame")
-    models = learning.train_ensemble(frame, features, iterations=iterations, late=late_days(frame))
+    models = learning.train_ensemble(frame, features, iterations=iterations, late=late_days(frame) if end_early else None)
     error = learning.predict_ensemble(models, frame, features, "_fitted").agg(
         F.avg(F.abs(F.col(learning.TARGET) - F.col("_fitted"))).alias("mae"), F.avg(learning.TARGET).alias("mean_actual"))
     asked = calendar.add_calendar_v1(history_v2.scoring_frame(source, target).select(

@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 from shelfcast.functions import files
 from shelfcast.functions.columns import finite_or_null
 from shelfcast.schemas import PREDICTION_COLUMNS_V1, RECOMMENDATIONS
-from shelfcast.session import materialize
-from shelfcast.sinks import numbers
+from shelfcast.sinks import numbers, swap
 
 READ_ORDER = ["PointID", "CategoryID"]
 
@@ -73,6 +72,7 @@ def add_missing_columns(df: DataFrame, schema: T.StructType, names: list[str]) -
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a stored table. With a canonical schema, files lacking a later column give NULL."""
+    swap.recover(spark, path)
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -97,9 +97,11 @@ def _sorted(df: DataFrame) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Write the frame as the whole table."""
-    writer = _sorted(null_unusable(df)).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    """Write the frame as the whole table: all of it or, if that fails, nothing."""
+    new = swap.aside(path)
+    writer = _sorted(null_unusable(df)).write
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(new)
+    swap.commit(df.sparkSession, path, [("replace", new, path)])
 
 
 def append_export(df: DataFrame, path: str, exported_at: dt.datetime, drop_existing: bool = False) -> int:
@@ -145,6 +147,12 @@ def prepare_slice(spark: SparkSession, path: str, day: dt.date) -> str:
     return "cleaned"
 
 
+def is_older_kind(spark: SparkSession, path: str) -> bool:
+    """A stored table none of whose files has the forecast column."""
+    schema = _stored_schema(spark, path)
+    return schema is not None and "predict_new" not in schema.names
+
+
 def replace_slice(df: DataFrame, path: str, day: dt.date | None, recreate_on_mismatch: bool = False) -> None:
     """Replace one day of a stored table, leaving other days alone.
 
@@ -152,11 +160,11 @@ def replace_slice(df: DataFrame, path: str, day: dt.date | None, recreate_on_mis
     With ``recreate_on_mismatch`` a set of columns other than that of all
     stored files instead replaces the whole table. Rows of other days are
     appended beside the stored ones, as are all rows without a day; a frame of
-    the day alone can be written again without change. The rows are written
-    aside first, so nothing stored goes before they have been computed.
+    the day alone can be written again without change. All of that happens or,
+    if the write fails, nothing.
     """
     spark = df.sparkSession
-    df = materialize(df, "slice")
+    swap.recover(spark, path)
     rows = _sorted(null_unusable(df))
     schema = _stored_schema(spark, path)
     if schema is not None and set(schema.names) != set(df.columns):
@@ -164,18 +172,13 @@ def replace_slice(df: DataFrame, path: str, day: dt.date | None, recreate_on_mis
             replace_table(df, path, "VisitDate")
             return
         rows = add_missing_columns(rows, schema, schema.names)
-    if day is None:
-        rows.write.mode("append").partitionBy("VisitDate").parquet(path)
-        return
-    of_day = F.coalesce(F.col("VisitDate") == F.lit(day), F.lit(False))
-    seen = df.agg(F.count_if(of_day), F.count_if(~of_day)).first()
-    if seen[0]:
-        (rows.where(of_day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("VisitDate").parquet(path))
-    else:
-        files.delete(spark, _slice_dir(path, day))
-    if seen[1]:
-        rows.where(~of_day).write.mode("append").partitionBy("VisitDate").parquet(path)
+    new = swap.aside(path)
+    rows.write.partitionBy("VisitDate").parquet(new)
+    moves: list[swap.Move] = []
+    if day is not None:
+        there = files.exists(spark, _slice_dir(new, day))
+        moves.append(("replace", _slice_dir(new, day), _slice_dir(path, day)) if there else ("delete", "", _slice_dir(path, day)))
+    swap.commit(spark, path, [*moves, ("add", new, path)])
 
 
 def append_predictions(df: DataFrame, path: str, created_at: dt.datetime, model_version: str = "catboost_v1") -> None:
