@@ -132,8 +132,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, part = piece_ids(tokenizer), Counter(), TaskContext.get().partitionId()
-        for b in _gathered(batches):
-            for lo, hi in _slices(b.column("text")):
+        most = SLICE_BYTES // 4 if with_ids else SLICE_BYTES  # ids that are kept take memory beside the text
+        for b in _gathered(batches, most):
+            for lo, hi in _slices(b.column("text"), most):
                 rows = b.slice(lo, hi - lo)
                 ids, ends = encoder.column(rows.column("text"), end)
                 size = np.diff(ends, prepend=0)
