@@ -29,6 +29,8 @@ from shelfcast.llm.tokencount import KEPT_BYTES, KEPT_LETTERS, SPACE, byte_lette
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 # White space next to a blank: there a cut before the blank is not certain.
 TOUCHING = re.compile(f"[{SPACE}] | [{SPACE}]")
+MARKS = frozenset(".,;:!?")
+NO_RANK = 1 << 62
 
 
 class Codec(dict):
@@ -42,6 +44,9 @@ class Codec(dict):
         raw = self.ids = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()}
         merges = [tuple(bytes(byte[c] for c in part) for part in pair) for pair in model["merges"]]
         self.ranks = {pair: i for i, pair in enumerate(merges)}
+        # rank and id of what a pair of ids becomes, as one number
+        self.pairs = {raw[a] << 32 | raw[b]: i << 32 | raw[a + b] for i, (a, b) in enumerate(merges)}
+        self.byte_ids = [raw.get(bytes([b]), -1) for b in range(256)]
         self.joined = {t[i:i + 2] for t in raw for i in range(len(t) - 1)}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = {k: i.to_bytes(4, "little") for k, i in special.items()}
@@ -62,8 +67,7 @@ class Codec(dict):
         if found is None:
             found = self.old_fragments.get(piece)
             if found is None:
-                parts = merge([piece[i:i + 1] for i in range(len(piece))], self.ranks)
-                found = array("I", [self.ids[p] for p in parts]).tobytes()
+                found = array("I", self.merge([self.byte_ids[b] for b in piece])).tobytes()
             if len(piece) <= KEPT_LETTERS:
                 if self.fragment_room <= 0:
                     self.fragments, self.old_fragments, self.fragment_room = {}, self.fragments, KEPT_BYTES
@@ -71,13 +75,37 @@ class Codec(dict):
                 self.fragment_room -= entry_bytes(piece, found)
         return found
 
+    def merge(self, ids: list[int]) -> list[int]:
+        """Byte-pair merging of a fragment, given one id a byte: the leftmost pair of lowest rank, until no pair has a rank."""
+        if len(ids) > 256:
+            parts = [self.texts[i] for i in ids]
+            merges_needed(parts, self.ranks, b"")  # the shared heap
+            return [self.ids[p] for p in parts if p]
+        pair = self.pairs.get
+        ranks = [pair(a << 32 | b, NO_RANK) for a, b in zip(ids, ids[1:])]
+        while ranks and (least := min(ranks)) < NO_RANK:
+            i = ranks.index(least)
+            ids[i] = one = least & 0xFFFFFFFF
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = pair(ids[i - 1] << 32 | one, NO_RANK)
+            if i < len(ranks):
+                ranks[i] = pair(one << 32 | ids[i + 1], NO_RANK)
+        return ids
+
     def run(self, text: str) -> bytes:
         """Ids of a text without special strings, word by word."""
         return b"".join(self.fragment(f) for w in self.words.findall(text) for f in self.cuts(w.encode()))
 
     def __missing__(self, piece: str) -> bytes:
         found = self.old.get(piece)
-        found = self.run(" " + piece) if found is None else found
+        if found is None:
+            if piece.isalpha():  # letters need no search, nor does one mark behind them
+                found = b"".join(map(self.fragment, self.cuts(b" " + piece.encode())))
+            elif piece[-1:] in MARKS and piece[:-1].isalpha():
+                found = self[piece[:-1]] + self.fragment(piece[-1].encode())
+            else:
+                found = self.run(" " + piece)
         if len(piece) <= KEPT_LETTERS:
             if self.room <= 0:
                 self.old, self.room = dict(self), KEPT_BYTES
@@ -101,33 +129,6 @@ class Codec(dict):
         return b"".join(map(self.texts.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
 
-def merge(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
-    """Byte-pair merging of a fragment: all places of the lowest-ranked pair, left to right, until no pair has a rank."""
-    if len(parts) > 256:
-        return merge_long(parts, ranks)
-    none = len(ranks)
-    while len(parts) > 1:
-        best = min(zip(parts, parts[1:]), key=lambda p: ranks.get(p, none))
-        if best not in ranks:
-            break
-        out, i, last = [], 0, len(parts) - 1
-        while i <= last:
-            if i < last and parts[i] == best[0] and parts[i + 1] == best[1]:
-                out.append(best[0] + best[1])
-                i += 2
-            else:
-                out.append(parts[i])
-                i += 1
-        parts = out
-    return parts
-
-
-def merge_long(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
-    """The same for long fragments, with the shared heap."""
-    merges_needed(parts, ranks, b"")
-    return [p for p in parts if p]
-
-
 @lru_cache(1)
 def codec(path: str) -> Codec:
     return Codec(path)
