@@ -13,7 +13,8 @@ sample fits the model, the other half says which k keeps ``keep`` of the good ro
 Results: a NULL or empty text has log weight 0. Labels with NULL id or quality
 are no labels; of several for one id the worst counts. Without good labelled
 rows in both halves nothing is rejected. Repeated rows share key and decision;
-ties at the k-th key stay together. An empty table gives no rows.
+ties at the k-th key stay together. Of several held-out rows with one labelled id
+the least key says which k is needed. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -126,8 +127,8 @@ def score(docs: DataFrame, ratios: np.ndarray, seed: int = 17) -> DataFrame:
 
 def calibrated_k(keys: DataFrame, sample: DataFrame, keep: float = 0.995) -> int:
     """How many rows of ``keys`` (id, k1) the top k must hold so that ``keep`` of the held-out good rows are among them."""
-    held = keys.join(F.broadcast(sample.where("good and not fits")), F.col("id") == F.col("label_id")).select("k1")
-    values = np.sort([r["k1"] for r in held.collect()])  # at most SAMPLE rows
+    held = keys.join(F.broadcast(sample.where("good and not fits")), F.col("id") == F.col("label_id")).groupBy("id").agg(F.min("k1").alias("k1"))
+    values = np.sort([r["k1"] for r in held.collect()])  # one row per label, at most SAMPLE
     if not len(values):
         return keys.count()
     least = int(values[int((1 - keep) * len(values))])
@@ -142,14 +143,34 @@ def top_k_key(keys: DataFrame, k: int) -> tuple[int, int]:
     return boundaries(keys.withColumn("size", F.lit(1).cast("long")), [total - k], 0, 1)[0]
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: float = 0.995, seed: int = 17) -> DataFrame:
-    """``docs`` with log_weight, sort_key and kept (with a ``_`` where a name is taken); k rows are kept, by default the calibrated number."""
+def _weighed(
+    docs: DataFrame, labels: DataFrame, k: int | None, keep: float, seed: int,
+) -> tuple[np.ndarray, DataFrame, tuple[int, int]]:
+    """Log ratios, the stored (doc_id, id, log_weight, k1, k2) of every row, and the key from which on rows are kept."""
     ratios, sample = fit(docs, labels)
     scored = score(docs, ratios, seed)
     w, s = scored.columns[-2:]
-    keys = materialize(scored.select(id_of(scored).alias("id"), F.col(s).alias("k1"), hash_of(scored).alias("k2")), "quality-keys")
-    if k is None:
-        k = calibrated_k(keys, sample, keep)
-    k1, k2 = top_k_key(keys, k)
-    kept = (F.col(s) > k1) | ((F.col(s) == k1) & (hash_of(scored) >= k2))
-    return scored.withColumn(free_name(scored, "kept"), kept)
+    keys = materialize(scored.select(
+        F.col("doc_id").cast("long").alias("doc_id"), id_of(scored).alias("id"), F.col(w).alias("log_weight"), F.col(s).alias("k1"),
+        hash_of(scored).alias("k2")), "quality-keys")
+    return ratios, keys, top_k_key(keys.select("id", "k1", "k2"), calibrated_k(keys, sample, keep) if k is None else k)
+
+
+def at_least(k1: Column, k2: Column, cut: tuple[int, int]) -> Column:
+    return (k1 > cut[0]) | ((k1 == cut[0]) & (k2 >= cut[1]))
+
+
+def decisions(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: float = 0.995, seed: int = 17) -> DataFrame:
+    """(doc_id, log_weight, sort_key, kept) of every row, without its text: each text is weighed once."""
+    _, keys, cut = _weighed(docs, labels, k, keep, seed)
+    return keys.select("doc_id", "log_weight", F.col("k1").alias("sort_key"), at_least(F.col("k1"), F.col("k2"), cut).alias("kept"))
+
+
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: float = 0.995, seed: int = 17) -> DataFrame:
+    """``docs`` with log_weight, sort_key and kept (with a ``_`` where a name is taken); k rows are kept, by default the calibrated number.
+
+    Texts are weighed again for the result: an exchange of whole texts with their stored keys would cost more.
+    """
+    ratios, _, cut = _weighed(docs, labels, k, keep, seed)
+    scored = score(docs, ratios, seed)
+    return scored.withColumn(free_name(scored, "kept"), at_least(F.col(scored.columns[-1]), hash_of(scored), cut))

@@ -75,8 +75,7 @@ def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality.resample(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "log_weight", "sort_key", "kept")
+    return quality.decisions(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
 @query
