@@ -315,14 +315,13 @@ def brand_candidates(spark, sf):
 
 @query
 def greedy_budget(spark, sf):
-    candidates, bound = _candidates(spark, sf)
-    filled = rec.greedy_fill(candidates, ["pointid", "categoryid"], brands_bound=bound)
+    filled = rec.greedy_fill(_candidates(spark, sf)[0], ["pointid", "categoryid"])
     return filled.select("pointid", "categoryid", "brand_id", "priority", "estimated_cost", "extended_sum", "included")
 
 
 @query
 def greedy_budget_streamed(spark, sf):
-    """The road for categories with very many rules."""
+    """Candidates joined by key, as for categories with very many rules."""
     filled = rec.greedy_fill(_candidates(spark, sf, most=0)[0], ["pointid", "categoryid"])
     return filled.select("pointid", "categoryid", "brand_id", "priority", "estimated_cost", "extended_sum", "included")
 

@@ -5,8 +5,8 @@ last step stays at one row per outlet and category: the outlet's mean quantities
 travel as a map from brand to mean, and the popular brands of a grid cell as an
 array. Only then does the join with the rules fan out to brands, in place, and
 the budget fill works on partitions that already hold whole pairs. With more
-rules, brand rows are joined by key and the fill streams through sorted
-partitions.
+rules, brand rows are joined by key. The fill itself is the same for any number
+of brands: repeated prefix sums.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ MANDATORY_PRIORITY = 9
 EMPTY_RULES = {
     "categoryid": "int", "brand": "int", "brandquantum": "int", "priorityweight": "int", "avgprice": "double", "isturbobrand": "int",
 }
-# Brands of one category up to which a pair's candidates are filled as an array.
+# Brands of one category up to which a pair carries its brand means as a map.
 ARRAY_BRANDS = 500
+# Rounds of the budget fill between two looks at what is undecided.
+ROUNDS_AT_ONCE = 3
 
 
 # --- input normalisers ------------------------------------------------------------
@@ -288,75 +290,67 @@ def brand_candidates(plan: DataFrame, rules: DataFrame, sales: DataFrame, weekda
 
 
 def greedy_fill(
-    candidates: DataFrame, keys: list[str], item: str = "brand_id", cost: str = "estimated_cost",
-    budget: str = "extended_sum", array_brands: int | None = ARRAY_BRANDS, brands_bound: int | None = None,
+    candidates: DataFrame, keys: list[str], item: str = "brand_id", cost: str = "estimated_cost", budget: str = "extended_sum",
 ) -> DataFrame:
     """Mark the candidates that fit the budget of their group (``included``).
 
     Candidates of mandatory priority are always in, even over budget. If money
     is left, the others are tried by priority, then item number: what fits is
-    taken, what does not is skipped.
-
-    ``brands_bound`` is the largest number of candidates a group can have. When
-    it is known to be small the group is filled as an array inside one
-    expression; otherwise groups stream through sorted partitions, so that no
-    group is held in memory.
+    taken, what does not is skipped. A NULL priority comes last, an unknown
+    cost never fits, and after an unknown budget or mandatory cost nothing
+    optional does.
+
+    Groups are filled by prefix sums: a round takes the longest prefix that the
+    money left can pay, drops what no longer fits, and leaves the rest to the
+    next round. Rounds share one partitioning and order; after a few of them
+    only groups with undecided candidates go on. The sums start at the money
+    left and run in order, so they equal a subtraction item by item, bit for bit.
     """
-    if brands_bound is not None and array_brands is not None and brands_bound <= array_brands:
-        return _greedy_array(candidates, keys, item, cost, budget)
-    return _greedy_stream(candidates, keys, item, cost, budget)
-
-
-def _greedy_array(candidates: DataFrame, keys: list[str], item: str, cost: str, budget: str) -> DataFrame:
-    rest = [c for c in candidates.columns if c not in keys]
-    entry = F.struct((-F.col("priority")).alias("_order"), F.col(item).alias("_item"), *rest)
-    groups = candidates.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("items"))
-
-    # ``open`` is settled by the first optional item: is any money left after the mandatory ones?
-    def take(state: Column, x: Column) -> Column:
-        mandatory = x["priority"] >= MANDATORY_PRIORITY
-        is_open = F.when(~mandatory, F.coalesce(state["open"], state["left"] > 0))
-        fits = mandatory | F.coalesce(is_open & (x[cost] <= state["left"]), F.lit(False))
-        return F.struct(
-            F.when(fits, state["left"] - x[cost]).otherwise(state["left"]).alias("left"),
-            is_open.alias("open"),
-            F.concat(state["taken"], F.array(fits)).alias("taken"),
-        )
-
-    start = F.struct(
-        F.get("items", F.lit(0))[budget].alias("left"), F.lit(None).cast("boolean").alias("open"),
-        F.array().cast("array<boolean>").alias("taken"))
-    filled = groups.withColumn("taken", F.aggregate("items", start, take, lambda s: s["taken"]))
-    zipped = F.arrays_zip("items", "taken")
-    return filled.select(*keys, F.explode(zipped).alias("z")).select(
-        *keys, *[F.col(f"z.items.{c}").alias(c) for c in rest], F.col("z.taken").alias("included"))
-
-
-def _greedy_stream(candidates: DataFrame, keys: list[str], item: str, cost: str, budget: str) -> DataFrame:
-    """Whole groups arrive sorted in one partition; only the running rest is kept between batches."""
-    schema = T.StructType([*candidates.schema.fields, T.StructField("included", T.BooleanType())])
-    ordered = candidates.repartition(*keys).sortWithinPartitions(*keys, F.desc("priority"), item)
-
-    def fill(batches):
-        group, left, is_open = None, 0.0, True
-        for batch in batches:
-            taken = []
-            rows = zip(*[batch[k] for k in keys], batch["priority"], batch[cost], batch[budget])
-            for *key, priority, price, money in rows:
-                if key != group:
-                    group, left, is_open = key, money, None
-                if priority >= MANDATORY_PRIORITY:
-                    fits = True
-                else:
-                    if is_open is None:
-                        is_open = left > 0
-                    fits = bool(is_open and price <= left)
-                if fits:
-                    left -= price
-                taken.append(fits)
-            yield batch.assign(included=taken)
-
-    return ordered.mapInPandas(fill, schema)
+    others = [c for c in candidates.columns if c not in (*keys, "priority", item, cost)]
+    ranked = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("priority"), item, cost, *others)
+    group = Window.partitionBy(*keys)
+    so_far = group.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    must, price = F.coalesce(F.col("priority") >= MANDATORY_PRIORITY, F.lit(False)), F.col(cost).cast("double")
+    zero = F.lit(0.0)
+
+    def overdrawn(counted: Column, money: str) -> Column:
+        """What the counted costs up to here exceed ``money`` by."""
+        return F.sum(F.when(F.col("_at") == 1, -F.col(money)).otherwise(zero) + F.when(counted, price).otherwise(zero)).over(so_far)
+
+    def last(column: str, where: Column) -> Column:
+        return F.max(F.when(where, F.struct("_at", column))).over(group)[column]
+
+    rows = candidates.withColumn("_at", F.row_number().over(ranked)).withColumn(
+        "_left", F.first(F.col(budget).cast("double")).over(so_far))
+    rows = rows.withColumn("_over", overdrawn(must, "_left")).withColumn("_blind", F.max(must & price.isNull()).over(group))
+    rows = rows.withColumn("_left", F.when(~F.col("_blind") & F.col("_left").isNotNull(), -last("_over", F.lit(True)))).drop("_blind")
+    is_open = F.coalesce((F.col("_left") > 0) & ~F.isnan("_left") & price.isNotNull(), F.lit(False))
+    rows = rows.withColumn("_in", F.when(must, True).when(~is_open, False))
+
+    def one_round(df: DataFrame) -> DataFrame:
+        waiting = F.col("_in").isNull()
+        df = df.withColumn("_over", overdrawn(waiting, "_left"))
+        fails = waiting & (F.col("_over") > 0)
+        df = df.withColumn("_stop", F.max(fails).over(so_far))
+        fits = waiting & ~F.col("_stop")
+        df = df.withColumns({
+            "_left": F.coalesce(-last("_over", fits), F.col("_left")), "_first": F.min(F.when(fails, F.col("_at"))).over(group),
+            # a cost below zero brings money back, so what comes after it may fit again
+            "_gains": F.coalesce(F.min(F.when(waiting & F.col("_stop"), price)).over(group) < 0, F.lit(False)),
+        })
+        never = waiting & ((F.col("_at") == F.col("_first")) | (~F.col("_gains") & (price > F.col("_left"))))
+        return df.withColumn("_in", F.when(fits, True).when(never, False).otherwise(F.col("_in"))).drop("_over", "_stop", "_first", "_gains")
+
+    rows, filled = rows.drop("_over"), None
+    while True:
+        for _ in range(ROUNDS_AT_ONCE):
+            rows = one_round(rows)
+        stored = materialize(rows.withColumn("_open", F.max(F.col("_in").isNull()).over(group)), "budget-fill")
+        closed = stored.where(~F.col("_open")).select(*candidates.columns, F.col("_in").alias("included"))
+        filled = closed if filled is None else filled.unionByName(closed)
+        rows = stored.where("_open").drop("_open")
+        if rows.isEmpty():
+            return filled
 
 
 def brands_bound(rules: DataFrame) -> int:
@@ -391,7 +385,7 @@ def recommend(
     bound = brands_bound(rules)
     plan = pair_plan(pairs, sales, rules, weekday, packed=bound <= array_brands)
     candidates = brand_candidates(plan, rules, sales, weekday)
-    return greedy_fill(candidates, ["pointid", "categoryid"], array_brands=array_brands, brands_bound=bound).where("included")
+    return greedy_fill(candidates, ["pointid", "categoryid"]).where("included")
 
 
 # --- reports ------------------------------------------------------------------------

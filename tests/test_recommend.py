@@ -46,21 +46,41 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("bound", [5, None])
-def test_greedy_cases(spark, bound):
-    got = _included(rec.greedy_fill(_candidates(spark, CASES), ["g"], brands_bound=bound))
+def test_greedy_cases(spark):
+    got = _included(rec.greedy_fill(_candidates(spark, CASES), ["g"]))
     assert got == {1: {0, 2}, 2: {0}, 3: {0}, 4: {0, 1}}
 
 
-def test_greedy_roads_agree_with_brute_force(spark):
+def test_greedy_agrees_with_brute_force(spark):
     rng = random.Random(7)
     groups = [(g, rng.randint(0, 60), [(rng.randint(1, 12), rng.randint(0, 20)) for _ in range(rng.randint(1, 30))]) for g in range(200)]
     df = _candidates(spark, groups)
     want = {g: t for g, budget, items in groups if (t := _by_hand(budget, items))}
-    assert _included(rec.greedy_fill(df, ["g"], brands_bound=30)) == want
     assert _included(rec.greedy_fill(df, ["g"])) == want
 
 
+def test_greedy_fractions_negative_costs_and_many_brands(spark):
+    """Fractions that add up to the budget, money brought back, 2000 brands in a group, and a group that takes many rounds."""
+    rng = random.Random(8)
+    groups = [(g, rng.choice([0.3, 1.0, 2.4, 7.7]), [(rng.randint(1, 12), rng.choice([0.1, 0.2, 0.3, 0.7, -0.1, 1.1])) for _ in range(20)])
+              for g in range(100)]
+    groups += [(g, 5000.0, [(rng.randint(1, 10), rng.random() * 40) for _ in range(2000)]) for g in (200, 201)]
+    steps = [(8, 1.0 if i % 2 == 0 else 99.5 - i / 2) for i in range(40)]
+    groups.append((300, 100.0, steps))
+    want = {g: t for g, budget, items in groups if (t := _by_hand(budget, items))}
+    assert _included(rec.greedy_fill(_candidates(spark, groups), ["g"])) == want
+
+
+def test_greedy_unknown_costs_and_budgets(spark):
+    rows = [(1, 0, 5, None, 10.0), (1, 1, 5, 4.0, 10.0), (1, 2, 4, float("nan"), 10.0), (1, 3, None, 6.0, 10.0),
+            (2, 0, 9, 1.0, None), (2, 1, 5, 1.0, None), (3, 0, 9, None, 10.0), (3, 1, 5, 1.0, 10.0), (4, 0, 9, 1.0, 10.0), (4, 0, 9, 1.0, 10.0)]
+    df = spark.createDataFrame(rows, "g int, brand_id int, priority int, estimated_cost double, extended_sum double")
+    got = rec.greedy_fill(df, ["g"])
+    assert got.count() == len(rows) and got.where("included is null").count() == 0
+    assert sorted((r["g"], r["brand_id"]) for r in got.where("included").collect()) == [(1, 1), (1, 3), (2, 0), (3, 0), (4, 0), (4, 0)]
+    assert rec.greedy_fill(df.limit(0), ["g"]).collect() == []
+
+
 def test_pack_rounding(spark):
     df = spark.createDataFrame([(7.5, 6), (0.0, 6), (-1.0, 6), (5.0, 0), (5.2, None), (12.0, 6)], "need double, q int")
     assert [r[0] for r in df.select(rec.pack_up(F.col("need"), F.col("q"))).collect()] == [12, 0, 0, 5, 6, 12]
