@@ -307,6 +307,10 @@ O["time_series_folds"] = """select VisitDate, PointID, CategoryID, SumRoubles,
  cast(case when i < n - 5 * (n // 6) then 0 else 1 + (i - (n - 5 * (n // 6))) // (n // 6) end as int) as block
  from (select *, count(*) over () as n, row_number() over (order by VisitDate, cast('0x' || substr(md5(cast(PointID as varchar)), 1, 3) as int), PointID, CategoryID) - 1 as i from day_fact)"""
 _ENCODED = [("Point", ["PointID"]), ("Cell", ["MicroRegionID"]), ("PointCategory", ["PointID", "CategoryID"])]
+O["category_routing"] = f"""select {LAST} as VisitDate, PointID, CategoryID, CategoryID in (1, 2, 3, 4) as routed, true as sound
+ from (select distinct PointID, CategoryID from day_fact where VisitDate < {LAST})"""
+O["category_weekend_models"] = """select CategoryID, cast(isodow(VisitDate) >= 6 as int) as Weekend, count(*) as n, round(avg(SumRoubles), 1) as forecast
+ from day_fact group by all"""
 O["target_encoding"] = "with " + ", ".join(
     [f"""day_{n} as (select {', '.join(k)}, VisitDate, sum(SumRoubles) as s, count(SumRoubles) as c from day_fact group by all),
  state_{n} as (select {', '.join(k)}, VisitDate, sum(s) over w as s, coalesce(sum(c) over w, 0) as c from day_{n}

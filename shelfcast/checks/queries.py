@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.columns import lower_columns
-from shelfcast.operators import calendar, classes, encoding, facts, history_v1, history_v2, learning, recommend as rec, statistics as stats
+from shelfcast.operators import calendar, classes, encoding, facts, grouped, history_v1, history_v2, learning, recommend as rec, statistics as stats
 from shelfcast.plans import jobs
 from shelfcast.schemas import RECOMMENDATIONS, RECOMMENDATIONS_ADDED, RULE_SYNONYMS
 from shelfcast.session import materialize, scratch_path
@@ -486,6 +486,24 @@ def forecast_by_category(spark, sf):
     return jobs.score_by_category(daily(spark, sf), FIRST, LAST, LAST, categories=[1, 2, 3, 4])
 
 
+@query
+def category_routing(spark, sf):
+    """Which pairs a category's own model forecasts: its forecasts are above 0, all others 0."""
+    scored = jobs.score_by_category(daily(spark, sf), FIRST, LAST, LAST, categories=[1, 2, 3, 4], with_fallback=False)
+    value = F.col("predict_advanced")
+    return scored.select(*KEYS, (value > 0).alias("routed"), (~F.isnan(value) & (value >= 0) & (value < float("inf"))).alias("sound"))
+
+
+@query
+def category_weekend_models(spark, sf):
+    """Models per category whose only feature is the weekend: they are saturated, so their forecasts are the mean sales."""
+    rows = daily(spark, sf).withColumn("Weekend", (F.weekday("VisitDate") >= 5).cast("int"))
+    features = learning.FeatureSet(["Weekend"])
+    model = grouped.fit(learning.training_frame(rows, features=features)[0], features, "CategoryID", l2=0.0, tolerance=1e-9, iterations=50)
+    cells = rows.groupBy("CategoryID", "Weekend").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(learning.predict(model, cells, features, "forecast"), 1, "forecast")
+
+
 @query
 def tune_forecast(spark, sf):
     return jobs.tune_parameters(daily(spark, sf), FIRST, LAST, scratch_path(spark, "params"))[1]

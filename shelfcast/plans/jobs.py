@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcast.operators import calendar, encoding, history_v1, history_v2, learning, recommend as rec, statistics as stats
+from shelfcast.operators import calendar, encoding, grouped, history_v1, history_v2, learning, recommend as rec, statistics as stats
 from shelfcast.session import materialize, scratch_scope
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored
@@ -141,15 +141,15 @@ def score_by_category(
 ) -> DataFrame:
     """Score the target day with one model per listed category; others use a common model, else 0.
 
-    With a path the day's slice is replaced there.
+    The models of all categories are fitted together, one pass over the rows per
+    iteration. With a path the day's slice is replaced there.
     """
     source = materialize(fact, "daily-sales")
     frame, features = learning.training_frame(features_v2(source, start, end), features=learning.model_features())
     frame = materialize(frame, "training-frame")
-    models = learning.train_by_category(frame, features, categories, lambda part: learning.train_tweedie(part, features))
     fallback = learning.train_tweedie(frame, features) if with_fallback else None
-    asked = materialize(history_v2.scoring_frame(source, target), "scoring-frame")
-    scored = learning.predict_by_category(models, asked, features, fallback, column="predict_advanced")
+    model = grouped.fit(frame, features, "CategoryID", groups=categories, fallback=fallback)
+    scored = learning.predict(model, history_v2.scoring_frame(source, target), features, "predict_advanced")
     if path is not None:
         scored = materialize(scored, "scored")
         sink.replace_slice(scored, path, target)
