@@ -254,6 +254,13 @@ O["scoring_frame"] = f"""select {REF} as VisitDate, x.PointID, x.CategoryID, x.B
  cast({REF} - x.VisitDate as int) as DaysLastSalesCategory, x.SumRoubles as LastSalesCategory, c.* exclude (d)
  from (select *, row_number() over (partition by PointID, CategoryID order by VisitDate desc) as rn from day_fact
   where VisitDate >= {START} and VisitDate < {REF}) x, cal2 c where x.rn = 1 and c.d = {REF}"""
+O["scoring_frame_from_state"] = O["scoring_frame"]
+O["state_as_of_day"] = f"""select {REF} as VisitDate, l.PointID, l.CategoryID, cast({REF} - l.last as int) as Days_Since_Last_Order_Category,
+ cast({REF} - max(l.last) over (partition by l.PointID) as int) as Days_Since_Last_Order_Total, l.amount as Prev_Order_Amount_Category,
+ round((l.last - l.first) / nullif(l.n - 1, 0), 4) as Average_Interval_Category, {_rolling_columns(4)}
+ from (select PointID, CategoryID, min(VisitDate) as first, max(VisitDate) as last, count(*) as n, arg_max(SumRoubles, VisitDate) as amount
+  from day_fact where VisitDate < {REF} group by all) l
+ join rolled_f r on l.PointID = r.pointid and l.CategoryID = r.categoryid and l.last = r.visitdate"""
 O["brand_rules_clean"] = "select * from rules"
 O["rule_categories"] = "select count(distinct categoryid) as categories, count(*) as rules from rules"
 O["sales_history_clean"] = "select * from sales"

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.columns import lower_columns
-from shelfcast.operators import calendar, classes, encoding, facts, grouped, history_v1, history_v2, learning, recommend as rec, statistics as stats
+from shelfcast.operators import calendar, classes, encoding, facts, grouped, history_v1, history_v2, learning, recommend as rec, state as state_features, statistics as stats
 from shelfcast.plans import jobs
 from shelfcast.schemas import RECOMMENDATIONS, RECOMMENDATIONS_ADDED, RULE_SYNONYMS
 from shelfcast.session import materialize, scratch_path
@@ -165,6 +165,27 @@ def scoring_frame(spark, sf):
     return rounded(history_v2.scoring_frame(daily(spark, sf, START, REF), REF), 9, *WAVES)
 
 
+ROLLED = ["Average_Interval_Category", *history_v1.ROLLING]
+
+
+@query
+def state_as_of_day(spark, sf):
+    """First-generation features of a scoring day from a stored state, built once and brought forward three times."""
+    fact, path = daily(spark, sf), scratch_path(spark, "state")
+    for until in (dt.date(1997, 6, 1), START, dt.date(1998, 3, 1), REF):
+        state = jobs.update_state(fact, until, path)
+    return rounded(state_features.scoring_v1(state, REF).select(
+        *KEYS, "Days_Since_Last_Order_Category", "Days_Since_Last_Order_Total", "Prev_Order_Amount_Category", *ROLLED), 4, *ROLLED)
+
+
+@query
+def scoring_frame_from_state(spark, sf):
+    """The second-generation scoring frame from a stored state, brought forward once."""
+    fact, path = daily(spark, sf, START, REF), scratch_path(spark, "state")
+    jobs.update_state(fact, dt.date(1998, 3, 1), path)
+    return rounded(state_features.scoring_v2(jobs.update_state(fact, REF, path), REF), 9, *WAVES)
+
+
 # --- rules, sales, classes -----------------------------------------------------------------------
 
 

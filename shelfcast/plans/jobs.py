@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcast.operators import calendar, encoding, grouped, history_v1, history_v2, learning, recommend as rec, statistics as stats
+from shelfcast.functions import files
+from shelfcast.operators import calendar, encoding, grouped, history_v1, history_v2, learning, recommend as rec, state as st, statistics as stats
 from shelfcast.session import materialize, scratch_scope
-from shelfcast.sinks import tables as sink
+from shelfcast.sinks import swap, tables as sink
 from shelfcast.sources import stored
 
 # fixed values: days of history for training, first and second generation
@@ -68,6 +69,28 @@ def build_feature_table(fact: DataFrame, start, end, path: str, holidays: DataFr
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def update_state(fact: DataFrame, until: dt.date, path: str) -> DataFrame:
+    """Bring the stored scoring state forward to all days before ``until``; only days since the stored one are read.
+
+    A state that reaches as far already stays as it is, so a repeated call
+    changes nothing. Rows that arrive for days the state has passed are not
+    seen: build it anew at another path for them.
+    """
+    spark = fact.sparkSession
+    swap.recover(spark, path)
+    old, since = None, None
+    if files.exists(spark, path):
+        old = spark.read.parquet(path)
+        since = old.agg(F.max("AsOf")).first()[0]
+    if since is not None and since >= until:
+        return old
+    rows = fact.where(F.col("VisitDate") < F.lit(until))
+    if since is not None:
+        rows = rows.where(F.col("VisitDate") >= F.lit(since))
+    sink.replace_table(st.advance(old, rows).withColumn("AsOf", F.lit(until)), path)
+    return spark.read.parquet(path)
+
+
 # --- forecasts ------------------------------------------------------------------------------
 
 
@@ -122,11 +145,7 @@ def train_ensemble_and_score(
     models = learning.train_ensemble(frame, features, iterations=iterations, late=late_days(frame) if end_early else None)
     error = learning.predict_ensemble(models, frame, features, "_fitted").agg(
         F.avg(F.abs(F.col(learning.TARGET) - F.col("_fitted"))).alias("mae"), F.avg(learning.TARGET).alias("mean_actual"))
-    asked = calendar.add_calendar_v1(history_v2.scoring_frame(source, target).select(
-        "VisitDate", "PointID", "CategoryID", "BranchID", "PointClass", "PointType", "Lat", "Lon", "MicroRegionID",
-        "DaysNextVisit", F.col("DaysLastSalesCategory").alias("Days_Since_Last_Order_Category"),
-        F.col("DaysLastVisit").alias("Days_Since_Last_Order_Total"),
-        F.col("LastSalesCategory").alias("Prev_Order_Amount_Category")), bounds=(target, target))
+    asked = st.scoring_v1(st.advance(None, source.where(F.col("VisitDate") < F.lit(target))), target)
     scored = materialize(learning.predict_ensemble(models, asked, features), "scored")
     bounded = stats.sanitise_forecasts(scored, "predict_new")
     out = stats.add_confidence(bounded, "predict_new", materialize(error, "train-error"))
