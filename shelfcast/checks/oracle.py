@@ -279,6 +279,7 @@ O["brand_candidates"] = "select * from cand"
 O["greedy_budget"] = "select pointid, categoryid, brand_id, priority, estimated_cost, extended_sum, included from filled"
 O["greedy_budget_streamed"] = O["greedy_budget"]
 O["recommend_orders"] = "select * from recs"
+O["recommend_from_inputs"] = O["recommend_orders"]
 O["recommendation_rows"] = f"""select pointid as PointId, categoryid as CategoryId, extended_sum as ForecastAmount, days_until_visit as DaysUntilVisit,
  {REF} as ReferenceDate, cast(3 as int) as TargetDayOfWeek, brand_id as BrandId, brand_name as BrandName, quantum as BrandQuantum,
  importance_label as ImportanceLabel, cast(1 + brand_id % 5 as int) as PriorityWeight, is_turbo as IsTurboBrand, avg_price as AvgPrice,

@@ -14,6 +14,7 @@ from shelfcast.schemas import RECOMMENDATIONS, RECOMMENDATIONS_ADDED, RULE_SYNON
 from shelfcast.session import materialize, scratch_path
 from shelfcast.sinks import tables as sink
 from shelfcast.sources import stored, testdata as td
+from shelfcast.sources.inputs import StoredInputs
 
 REF = dt.date(1998, 4, 1)
 START = dt.date(1998, 1, 1)
@@ -352,6 +353,16 @@ def recommend_orders(spark, sf):
     return recommended(spark, sf)
 
 
+@query
+def recommend_from_inputs(spark, sf):
+    """The recommended orders once more, by the job with stored rules and sales; the second call reads them."""
+    kept = StoredInputs(spark, scratch_path(spark, "inputs"))
+    for _ in range(2):
+        rows = jobs.recommend_from_stored(
+            predictions(spark, sf), td.brand_rules(spark, sf), brand_history(spark, sf), REF, scratch_path(spark, "recs"), STAMP, inputs=kept)
+    return rows
+
+
 @query
 def recommendation_rows(spark, sf):
     return sink.recommendation_rows(recommended(spark, sf), REF, "model_a")

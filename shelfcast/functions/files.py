@@ -27,6 +27,18 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
 
 
+def states(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """(path, size, time of change) of files, in order; each folder is listed once."""
+    wanted, found = set(paths), []
+    for folder in sorted({p.rsplit("/", 1)[0] for p in paths}):
+        fs, jpath = _fs(spark, folder)
+        for s in fs.listStatus(jpath):
+            path = f"{folder}/{s.getPath().getName()}"
+            if path in wanted:
+                found.append((path, s.getLen(), s.getModificationTime()))
+    return sorted(found)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, jpath = _fs(spark, path)
     stream = fs.open(jpath)

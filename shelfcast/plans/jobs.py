@@ -12,6 +12,7 @@ from shelfcast.operators import calendar, encoding, grouped, history_v1, history
 from shelfcast.session import materialize, scratch_scope
 from shelfcast.sinks import swap, tables as sink
 from shelfcast.sources import stored
+from shelfcast.sources.inputs import StoredInputs
 
 # fixed values: days of history for training, first and second generation
 HISTORY_DAYS_V1, HISTORY_DAYS_V2 = 365, 395
@@ -246,9 +247,17 @@ def compare_validation(fact: DataFrame, start, end, iterations: int = learning.R
 def recommend_from_stored(
     predictions: DataFrame, rules: DataFrame, sales: DataFrame, reference_date: dt.date, path: str, created_at: dt.datetime,
     model_version: str | None = None, point_id: int | None = None, category_id: int | None = None,
-    default_days: int | None = None, clip: bool = True,
+    default_days: int | None = None, clip: bool = True, inputs: StoredInputs | None = None, force_refresh: bool = False,
 ) -> DataFrame:
-    """Recommend from stored forecasts, save, and return the recommended rows."""
+    """Recommend from stored forecasts, save, and return the recommended rows.
+
+    With ``inputs`` rules and sales are taken from there while their source files are
+    unchanged, so that requests for single pairs do not aggregate all sales again.
+    """
+    if inputs is not None:
+        asked = {"reference_date": reference_date}
+        rules = inputs.get("rules", asked, lambda given=rules: given, force_refresh)
+        sales = inputs.get("brand-sales", asked, lambda given=sales: given, force_refresh)
     loaded = stored.load_predictions(predictions, point_id, category_id, clip)
     rows = materialize(rec.recommend(loaded, rules, sales, reference_date, default_days), "recommended")
     sink.save_recommendations(rows, path, reference_date, created_at, model_version)
