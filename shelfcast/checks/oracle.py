@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-REF, START, FIRST, LAST = "date '1998-04-01'", "date '1998-01-01'", "date '1995-01-01'", "date '2002-01-01'"
+REF, START, LAST = "date '1998-04-01'", "date '1998-01-01'", "date '2002-01-01'"
 WEEKDAY = 3
 
 # fixed values: public holidays as month and day

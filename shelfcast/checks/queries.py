@@ -18,7 +18,8 @@ from shelfcast.sources.inputs import StoredInputs
 
 REF = dt.date(1998, 4, 1)
 START = dt.date(1998, 1, 1)
-FIRST, LAST = dt.date(1995, 1, 1), dt.date(2002, 1, 1)
+# The day after the published orders: forecasts are for it.
+LAST = dt.date(2002, 1, 1)
 WEEKDAY = REF.isoweekday()
 STAMP = dt.datetime(1998, 4, 1, 12, 0, 0)
 
@@ -38,9 +39,17 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 # --- shared inputs ------------------------------------------------------------------------
 
 
-def daily(spark: SparkSession, sf: str, start: dt.date = FIRST, end: dt.date = LAST) -> DataFrame:
-    """Daily fact in whole roubles, so that every engine adds the amounts exactly."""
-    return rounded(rounded(facts.daily_sales(td.source_tables(spark, sf), start, end), 4, "SumRoubles"), 0, "SumRoubles")
+def span(spark: SparkSession, sf: str) -> tuple[dt.date, dt.date]:
+    """First day of the orders and the day after their last; of an empty table, a day without rows."""
+    day = F.to_date("o_orderdate")
+    first, last = td.table(spark, sf, "orders").agg(F.min(day), F.max(day)).first()
+    return (LAST, LAST) if first is None else (first, last + dt.timedelta(days=1))
+
+
+def daily(spark: SparkSession, sf: str, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Daily fact (by default of all orders) in whole roubles, so that every engine adds the amounts exactly."""
+    first, last = (start, end) if start and end else span(spark, sf)
+    return rounded(rounded(facts.daily_sales(td.source_tables(spark, sf), start or first, end or last), 4, "SumRoubles"), 0, "SumRoubles")
 
 
 def brand_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +109,7 @@ def point_features_pivot(spark, sf):
 
 @query
 def daily_sales_fact(spark, sf):
-    return rounded(facts.daily_sales(td.source_tables(spark, sf), FIRST, LAST), 4, "SumRoubles")
+    return rounded(facts.daily_sales(td.source_tables(spark, sf), *span(spark, sf)), 4, "SumRoubles")
 
 
 @query
@@ -121,12 +130,12 @@ WAVES = [f"{n}_{w}" for n in ("DayOfYear", "Month", "DayOfWeek", "WeekOfYear", "
 
 @query
 def calendar_features_v1(spark, sf):
-    return calendar.add_calendar_v1(daily(spark, sf).select(*KEYS), bounds=(FIRST, LAST))
+    return calendar.add_calendar_v1(daily(spark, sf).select(*KEYS), bounds=span(spark, sf))
 
 
 @query
 def calendar_features_v2(spark, sf):
-    return rounded(calendar.add_calendar_v2(daily(spark, sf).select(*KEYS), bounds=(FIRST, LAST)), 9, *WAVES)
+    return rounded(calendar.add_calendar_v2(daily(spark, sf).select(*KEYS), bounds=span(spark, sf)), 9, *WAVES)
 
 
 @query
@@ -151,13 +160,13 @@ def category_cadence_v2(spark, sf):
 
 @query
 def features_v2_full(spark, sf):
-    return rounded(jobs.features_v2(daily(spark, sf), FIRST, LAST), 9, *WAVES)
+    return rounded(jobs.features_v2(daily(spark, sf), *span(spark, sf)), 9, *WAVES)
 
 
 @query
 def features_v1_full(spark, sf):
     return rounded(
-        jobs.features_v1(daily(spark, sf), FIRST, LAST, calendar_flag=True, history_flag=True, sales_flag=True), 4,
+        jobs.features_v1(daily(spark, sf), *span(spark, sf), calendar_flag=True, history_flag=True, sales_flag=True), 4,
         "Average_Interval_Category", *history_v1.ROLLING)
 
 
@@ -419,13 +428,13 @@ def outlier_filter_iqr(spark, sf):
 
 @query
 def training_matrix(spark, sf):
-    frame, _ = learning.training_frame(jobs.features_v2(daily(spark, sf), FIRST, LAST), exclude=("VisitDate", "isHolidayNextVisit"))
+    frame, _ = learning.training_frame(jobs.features_v2(daily(spark, sf), *span(spark, sf)), exclude=("VisitDate", "isHolidayNextVisit"))
     return rounded(frame.drop("isHolidayNextVisit"), 9, *WAVES)
 
 
 @query
 def training_matrix_v1(spark, sf):
-    frame = jobs.features_v1(daily(spark, sf), FIRST, LAST, calendar_flag=True, history_flag=True, sales_flag=True)
+    frame = jobs.features_v1(daily(spark, sf), *span(spark, sf), calendar_flag=True, history_flag=True, sales_flag=True)
     features = learning.feature_set_by_type(frame)
     clean = materialize(learning.training_frame(frame, features=features)[0], "training-frame")
     return rounded(stats.iqr_filter(clean, "SumRoubles"), 4, "Average_Interval_Category", *history_v1.ROLLING)
@@ -503,25 +512,25 @@ def bias_ratio(spark, sf):
 
 @query
 def forecast_tweedie(spark, sf):
-    return jobs.train_and_score(daily(spark, sf), FIRST, LAST, LAST, scratch_path(spark, "forecast")).select(
+    return jobs.train_and_score(daily(spark, sf), span(spark, sf)[0], LAST, LAST, scratch_path(spark, "forecast")).select(
         *KEYS, "predict_new", "DaysNextVisit", "ModelVersion")
 
 
 @query
 def forecast_ensemble(spark, sf):
-    return jobs.train_ensemble_and_score(daily(spark, sf), FIRST, LAST, LAST).select(
+    return jobs.train_ensemble_and_score(daily(spark, sf), span(spark, sf)[0], LAST, LAST).select(
         *KEYS, "predict_new", "Prediction_Confidence")
 
 
 @query
 def forecast_by_category(spark, sf):
-    return jobs.score_by_category(daily(spark, sf), FIRST, LAST, LAST, categories=[1, 2, 3, 4])
+    return jobs.score_by_category(daily(spark, sf), span(spark, sf)[0], LAST, LAST, categories=[1, 2, 3, 4])
 
 
 @query
 def category_routing(spark, sf):
     """Which pairs a category's own model forecasts: its forecasts are above 0, all others 0."""
-    scored = jobs.score_by_category(daily(spark, sf), FIRST, LAST, LAST, categories=[1, 2, 3, 4], with_fallback=False)
+    scored = jobs.score_by_category(daily(spark, sf), span(spark, sf)[0], LAST, LAST, categories=[1, 2, 3, 4], with_fallback=False)
     value = F.col("predict_advanced")
     return scored.select(*KEYS, (value > 0).alias("routed"), (~F.isnan(value) & (value >= 0) & (value < float("inf"))).alias("sound"))
 
@@ -538,12 +547,12 @@ def category_weekend_models(spark, sf):
 
 @query
 def tune_forecast(spark, sf):
-    return jobs.tune_parameters(daily(spark, sf), FIRST, LAST, scratch_path(spark, "params"))[1]
+    return jobs.tune_parameters(daily(spark, sf), *span(spark, sf), scratch_path(spark, "params"))[1]
 
 
 @query
 def cv_scores(spark, sf):
-    return jobs.compare_validation(daily(spark, sf), FIRST, LAST)
+    return jobs.compare_validation(daily(spark, sf), *span(spark, sf))
 
 
 # --- stored tables -------------------------------------------------------------------------------------------------
@@ -699,5 +708,5 @@ def csv_roundtrip(spark, sf):
 def full_pipeline(spark, sf):
     """Train, score the day, recommend from the stored scores, save and read back."""
     out = jobs.train_and_recommend(
-        daily(spark, sf), td.brand_rules(spark, sf), brand_history(spark, sf), FIRST, REF, REF, STAMP, scratch_path(spark, "run"))
+        daily(spark, sf), td.brand_rules(spark, sf), brand_history(spark, sf), span(spark, sf)[0], REF, REF, STAMP, scratch_path(spark, "run"))
     return lower_columns(out).select(*KEPT)
