@@ -379,6 +379,7 @@ O["add_columns_roundtrip"] = """select pointid, categoryid, brand_id as brandid,
  cast(null as decimal(18,2)) as extendedsum, cast(null as varchar) as comment from recs"""
 O["overwrite_roundtrip"] = "select * replace (case when PointID % 5 = 0 or PointID % 7 = 0 then null else predict_new end as predict_new) from predictions"
 O["failed_write_keeps_rows"] = "select * from predictions"
+O["lookup_layout"] = """select * from predictions where PointID % 7 = 0 or (VisitDate >= date '1998-02-01' and VisitDate < date '1998-03-01')"""
 O["csv_roundtrip"] = "select * from predictions"
 
 

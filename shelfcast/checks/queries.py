@@ -696,6 +696,16 @@ def overwrite_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def lookup_layout(spark, sf):
+    """Forecasts laid out for lookups, read back for every seventh outlet and, in one month, for all."""
+    path = scratch_path(spark, "lookups")
+    sink.write_for_lookups(predictions(spark, sf), path)
+    rows = spark.read.parquet(path)
+    month = (F.col("VisitDate") >= dt.date(1998, 2, 1)) & (F.col("VisitDate") < dt.date(1998, 3, 1))
+    return rows.where((F.col("PointID") % 7 == 0) | month)
+
+
 @query
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -20,6 +21,8 @@ from shelfcast.schemas import PREDICTION_COLUMNS_V1, RECOMMENDATIONS
 from shelfcast.sinks import numbers, swap
 
 READ_ORDER = ["PointID", "CategoryID"]
+# Order of a table laid out for lookups, and the column whose values each row group can be asked for.
+LOOKUP_ORDER, LOOKUP_COLUMN = ["VisitDate", "PointID", "CategoryID"], "PointID"
 
 
 # --- types --------------------------------------------------------------------------
@@ -104,6 +107,23 @@ def replace_table(df: DataFrame, path: str, partition_by: str | None = None) ->
     swap.commit(df.sparkSession, path, [("replace", new, path)])
 
 
+def write_for_lookups(
+    df: DataFrame, path: str, order: Sequence[str] = LOOKUP_ORDER, column: str = LOOKUP_COLUMN, row_group_bytes: int | None = None
+) -> None:
+    """Write the frame as the whole table in ranges of ``order``, with a Bloom filter on ``column`` in each row group.
+
+    One exchange by range over the cluster, then a sort inside each range:
+    lookups by day, or by day and outlet, skip row groups by their least and
+    greatest values, lookups by outlet alone by the filter. A key that fills many
+    ranges is cut by the columns after it. NULL keys come first.
+    """
+    new = swap.aside(path)
+    rows = null_unusable(df).repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = rows.write.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    (writer.option("parquet.block.size", row_group_bytes) if row_group_bytes else writer).parquet(new)
+    swap.commit(df.sparkSession, path, [("replace", new, path)])
+
+
 def append_export(df: DataFrame, path: str, exported_at: dt.datetime, drop_existing: bool = False) -> int:
     """Append rows with a running ``ID`` and ``ExportedAt``; returns how many were written.
 
