@@ -71,6 +71,20 @@ def test_greedy_fractions_negative_costs_and_many_brands(spark):
     assert _included(rec.greedy_fill(_candidates(spark, groups), ["g"])) == want
 
 
+def test_greedy_arrays_equal_prefix_sums(spark):
+    """Short groups are walked as arrays, without a window, with the same rows taken: unknown, free, negative and fractional costs, equal brands."""
+    rng = random.Random(3)
+    money = [None, 0.0, -1.0, 3.3, 20.0, float("nan"), float("inf")]
+    rows = [
+        (g, rng.randint(0, 5), rng.choice([None, 1, 2, 5, 9, 12]), rng.choice([None, 0.0, -0.7, 0.1, 0.2, 0.3, 1.1, 7.0, float("nan")]), budget, i)
+        for g in range(300) for budget in [rng.choice(money)] for i in range(rng.randint(1, 14))]
+    df = spark.createDataFrame(rows, "g int, brand_id int, priority int, estimated_cost double, extended_sum double, place int")
+    short, long = rec.greedy_fill(df, ["g"], most=14), rec.greedy_fill(df, ["g"], most=14, array_brands=0)
+    assert "Window" not in short._jdf.queryExecution().toString()
+    assert short.columns == long.columns
+    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect()))
+
+
 def test_greedy_unknown_costs_and_budgets(spark):
     rows = [(1, 0, 5, None, 10.0), (1, 1, 5, 4.0, 10.0), (1, 2, 4, float("nan"), 10.0), (1, 3, None, 6.0, 10.0),
             (2, 0, 9, 1.0, None), (2, 1, 5, 1.0, None), (3, 0, 9, None, 10.0), (3, 1, 5, 1.0, 10.0), (4, 0, 9, 1.0, 10.0), (4, 0, 9, 1.0, 10.0)]
@@ -211,3 +225,11 @@ def test_invariants_on_generated_pairs(spark, sf):
         assert optional == 0 or optional + mandatory <= group[0]["extended_sum"] + 1e-6
     candidates = q.QUERIES["brand_candidates"](spark, sf)
     assert candidates.where("recommended_qty % quantum <> 0 or recommended_qty < quantum").count() == 0
+
+
+def test_candidates_are_spread_by_their_number(spark, tiny, monkeypatch):
+    """Pairs are few bytes: without a cut by count they fan out and fill in one task."""
+    monkeypatch.setattr(rec, "CANDIDATES_PER_TASK", 1)
+    forecasts, rules, sales = tiny
+    plan = rec.recommend(forecasts, rules, sales, D(2024, 3, 6))._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in plan
