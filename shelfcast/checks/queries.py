@@ -181,7 +181,7 @@ ROLLED = ["Average_Interval_Category", *history_v1.ROLLING]
 @query
 def state_as_of_day(spark, sf):
     """First-generation features of a scoring day from a stored state, built once and brought forward three times."""
-    fact, path = daily(spark, sf), scratch_path(spark, "state")
+    fact, path = materialize(daily(spark, sf), "daily-sales"), scratch_path(spark, "state")
     for until in (dt.date(1997, 6, 1), START, dt.date(1998, 3, 1), REF):
         state = jobs.update_state(fact, until, path)
     return rounded(state_features.scoring_v1(state, REF).select(
@@ -191,7 +191,7 @@ def state_as_of_day(spark, sf):
 @query
 def scoring_frame_from_state(spark, sf):
     """The second-generation scoring frame from a stored state, brought forward once."""
-    fact, path = daily(spark, sf, START, REF), scratch_path(spark, "state")
+    fact, path = materialize(daily(spark, sf, START, REF), "daily-sales"), scratch_path(spark, "state")
     jobs.update_state(fact, dt.date(1998, 3, 1), path)
     return rounded(state_features.scoring_v2(jobs.update_state(fact, REF, path), REF), 9, *WAVES)
 
@@ -539,7 +539,7 @@ def category_routing(spark, sf):
 @query
 def category_weekend_models(spark, sf):
     """Models per category whose only feature is the weekend: they are saturated, so their forecasts are the mean sales."""
-    rows = daily(spark, sf).withColumn("Weekend", (F.weekday("VisitDate") >= 5).cast("int"))
+    rows = materialize(daily(spark, sf).select(*KEYS, "SumRoubles"), "daily-sales").withColumn("Weekend", (F.weekday("VisitDate") >= 5).cast("int"))
     features = learning.FeatureSet(["Weekend"])
     model = grouped.fit(learning.training_frame(rows, features=features)[0], features, "CategoryID", l2=0.0, tolerance=1e-9, iterations=50)
     cells = rows.groupBy("CategoryID", "Weekend").agg(F.count(F.lit(1)).alias("n"))
