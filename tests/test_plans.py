@@ -1,10 +1,18 @@
 """Physical plans: no Python in the hot path, no cartesian product, no unbounded window."""
 
+import contextlib
+import datetime as dt
+import io
 import re
 
 import pytest
 
+from shelfcast import schemas
 from shelfcast.checks import queries as q
+from shelfcast.functions.columns import finite_or_null
+from shelfcast.operators import learning, statistics as stats
+from shelfcast.plans import jobs
+from shelfcast.session import materialize
 
 NATIVE = [
     "brand_sales_3m", "daily_sales_fact", "features_v1_full", "features_v2_full", "order_history_v1", "sales_features_v1",
@@ -64,3 +72,48 @@ def test_no_shuffle_join_on_few_keys(spark, sf, name):
     for line in plan.splitlines():
         found = re.search(r"SortMergeJoin(?:\(skew=true\))? \[([^\]]*)\]", line)
         assert not found or not {re.sub(r"#.*", "", k.strip()) for k in found[1].split(",")} <= {"categoryid", "microregionid", "VisitDate"}, line
+
+
+def _code_size(spark, df):
+    """Largest method that Spark generates for the plan; the JVM never compiles one above 8000 bytes."""
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        df.explain("codegen")
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue()))
+
+
+@pytest.fixture
+def own_fact(spark):
+    """Two outlets on 40 days, one amount far out, one unknown, one not a number."""
+    first = dt.date(2001, 1, 1)
+    rows = [
+        (first + dt.timedelta(days=3 * d), p, 1 + d % 2, p, "A", None, 52.0, 39.0, "51.97_39", float(10 + d + p)) for p in (1, 2) for d in range(40)]
+    odd = [(dt.date(2001, 6, d), 3, 1, 3, "A", "B", 52.0, 39.0, "51.97_39", amount) for d, amount in ((1, 1e6), (2, None), (3, float("nan")), (4, float("inf")))]
+    return materialize(spark.createDataFrame([*rows, *odd], schemas.DAILY_SALES), "own-fact")
+
+
+def test_wide_training_rows_stay_compiled(spark, own_fact):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        start, end = dt.date(2001, 1, 1), dt.date(2001, 12, 31)
+        older, features = jobs.training_rows_v1(own_fact, start, end)
+        newer = learning.training_frame(jobs.features_v2(own_fact, start, end), exclude=("VisitDate", "isHolidayNextVisit"))[0]
+        assert _code_size(spark, older) <= 8000 and _code_size(spark, newer) <= 8000
+        assert sum("Window [" in line for line in _plan(older).splitlines()) == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_training_rows_are_those_of_the_filtered_frame(spark, own_fact):
+    start, end = dt.date(2001, 1, 1), dt.date(2001, 12, 31)
+    got, features = jobs.training_rows_v1(own_fact, start, end)
+    raw = jobs.features_v1(own_fact, start, end, calendar_flag=True, history_flag=True, sales_flag=True)
+    clean = materialize(learning.training_frame(raw, features=learning.feature_set_by_type(raw))[0], "clean")
+    want = stats.iqr_filter(clean, "SumRoubles")
+    assert got.columns == want.columns and features == learning.feature_set_by_type(raw)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert got.count() == 80 and got.where("PointID = 3").isEmpty()
+
+
+def test_finite_values_keep_their_bits(spark):
+    df = spark.createDataFrame([(1.5,), (-0.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "v double")
+    assert [r[0] for r in df.select(finite_or_null("v")).collect()] == [1.5, -0.0, None, None, None, None]
