@@ -124,6 +124,15 @@ def band_links(rows: DataFrame) -> DataFrame:
     return keys.select(least.alias("a"), F.col("fp").alias("b")).where("a <> b").distinct()
 
 
+def _shared(entries: DataFrame) -> DataFrame:
+    """Exploded ``entries`` (k, v, fp) of keys that several of them have, with their number n.
+
+    Merged by key: Spark sizes exploded rows as if they were the rows before, so it would broadcast many times what it allows.
+    """
+    sizes = entries.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return entries.hint("merge").join(sizes, ["k", "v"])
+
+
 def links(fps: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFrame:
     """(a, b): links of distinct fingerprints ``fps`` (fp) that connect all pairs at ``distance`` bits or fewer, and no others."""
     if distance not in (0, 1, 2):
@@ -132,8 +141,7 @@ def links(fps: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFrame:
         F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for i, m in enumerate(KEYS)
     ])).alias("key")
     blocks = fps.select("fp", keys).select("key.k", "key.v", "fp")
-    sizes = blocks.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = materialize(blocks.join(sizes, ["k", "v"]), "simhash-blocks")
+    blocks = materialize(_shared(blocks), "simhash-blocks")
     few = blocks.where(F.col("n") <= bucket).select("k", "v", F.col("fp").alias("a"))
     differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     joined = few.join(few.withColumnRenamed("a", "b"), ["k", "v"]).where((F.col("a") < F.col("b")) & (differ <= distance)).select("a", "b")
@@ -183,8 +191,7 @@ def wide_links(fps: DataFrame, distance: int, blocks: int, agree: int, bucket: i
         F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for i, m in enumerate(masks)
     ])).alias("key")
     entries = fps.select("fp", keys).select("key.k", "key.v", "fp")
-    sizes = entries.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    stored = materialize(entries.join(sizes, ["k", "v"]), "wide-blocks")
+    stored = materialize(_shared(entries), "wide-blocks")
     differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     few = stored.where(F.col("n") <= bucket).select("k", "v", F.col("fp").alias("a"))
     joined = few.join(few.withColumnRenamed("a", "b"), ["k", "v"]).where((F.col("a") < F.col("b")) & (differ <= distance)).select("a", "b")

@@ -201,6 +201,21 @@ def test_full_buckets_lose_no_link(spark):
     assert brute.roots(fps, found) == brute.roots(fps, [(a, b) for i, a in enumerate(fps) for b in fps[i + 1:] if (a ^ b).bit_count() <= 3])
 
 
+def test_exploded_keys_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes exploded rows as the rows before, so even small fingerprints may not make it broadcast their keys."""
+    plans, store = {}, simhash.materialize
+
+    def caught(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, label)
+
+    monkeypatch.setattr(simhash, "materialize", caught)
+    fps = store(spark.range(300).select((F.col("id") % 150 * 3).alias("fp")).distinct(), "fps")
+    assert simhash.links(fps).count() > 0 and simhash.wide_links(fps, 3, 8, 5).count() > 0
+    for label in ("simhash-blocks", "wide-blocks"):
+        assert "SortMergeJoin" in plans[label] and "Broadcast" not in plans[label], label
+
+
 def test_pipeline_near_copies(spark):
     """Copies of a similarity of 0.8 or more go, others stay: exact groups by brute force, chunks of three texts included."""
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
